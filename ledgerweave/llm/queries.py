@@ -1,0 +1,39 @@
+"""Queries of the llm operators over the test tables, and SQL where it can say the same."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerweave.llm import mixing, tokens, unicode_form
+from ledgerweave.sources.tables import table
+
+
+def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.encode(table(spark, folder, "documents"))
+
+
+def p6_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.roundtrip(table(spark, folder, "documents"))
+
+
+def p7_mix(spark: SparkSession, folder: str) -> DataFrame:
+    rows = mixing.counted(table(spark, folder, "documents"))
+    return mixing.choose(rows, table(spark, folder, "mix_targets")).withColumnRenamed("key", "doc_id").withColumnRenamed("n", "n_tokens")
+
+
+def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
+    rows, targets = mixing.counted(table(spark, folder, "documents")), table(spark, folder, "mix_targets")
+    return mixing.shares(rows, mixing.choose(rows, targets), targets)
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return unicode_form.same_look_pairs(table(spark, folder, "documents"))
+
+
+def p8_forms(spark: SparkSession, folder: str) -> DataFrame:
+    return unicode_form.normalised(table(spark, folder, "documents"))
+
+
+QUERIES = {q.__name__: q for q in (p6_ids, p6_roundtrip, p7_mix, p7_shares, p8_found, p8_forms)}
+SQL: dict[str, str] = {}
