@@ -21,7 +21,7 @@ def parse_date(c: Column) -> Column:
         return F.lpad(F.regexp_extract(s, pattern, group), width, "0")
 
     def month(pattern: str, group: int) -> Column:
-        at = F.locate(F.substring(F.regexp_extract(s, pattern, group), 1, 3), F.lit(_MONTHS))
+        at = F.position(F.substring(F.regexp_extract(s, pattern, group), 1, 3), F.lit(_MONTHS))
         return F.when(at % 3 == 1, F.lpad(((at + 2) / 3).cast("int").cast("string"), 2, "0"))
 
     def iso(y: Column, m: Column, d: Column) -> Column:
