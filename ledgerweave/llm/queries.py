@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerweave.llm import mixing, tokens, unicode_form
+from ledgerweave.llm import canonical, mixing, tokens, unicode_form
 from ledgerweave.sources.tables import table
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return canonical.found(table(spark, folder, "tif_district_legislation_candidates"), table(spark, folder, "tif_district_universe"))
+
+
+def p4_mapped(spark: SparkSession, folder: str) -> DataFrame:
+    return canonical.mapped(table(spark, folder, "tif_district_legislation_candidates"), table(spark, folder, "tif_district_universe"))
+
+
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.encode(table(spark, folder, "documents"))
 
@@ -35,5 +43,5 @@ def p8_forms(spark: SparkSession, folder: str) -> DataFrame:
     return unicode_form.normalised(table(spark, folder, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (p6_ids, p6_roundtrip, p7_mix, p7_shares, p8_found, p8_forms)}
+QUERIES = {q.__name__: q for q in (p4_found, p4_mapped, p6_ids, p6_roundtrip, p7_mix, p7_shares, p8_found, p8_forms)}
 SQL: dict[str, str] = {}
