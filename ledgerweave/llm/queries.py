@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerweave.llm import canonical, mixing, tokens, unicode_form
+from ledgerweave.llm import canonical, mixing, name_variants, tokens, unicode_form
 from ledgerweave.sources.tables import table
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return name_variants.same_project_pairs(table(spark, folder, "tif_annual_report_projects"), table(spark, folder, "project_name_overrides"))
+
+
+def p1_projects(spark: SparkSession, folder: str) -> DataFrame:
+    rows = name_variants.projects(table(spark, folder, "tif_annual_report_projects"), table(spark, folder, "project_name_overrides"))
+    return rows.select("annual_row_id", F.sha1("project").alias("project_id"))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return canonical.found(table(spark, folder, "tif_district_legislation_candidates"), table(spark, folder, "tif_district_universe"))
 
@@ -43,5 +52,5 @@ def p8_forms(spark: SparkSession, folder: str) -> DataFrame:
     return unicode_form.normalised(table(spark, folder, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (p4_found, p4_mapped, p6_ids, p6_roundtrip, p7_mix, p7_shares, p8_found, p8_forms)}
+QUERIES = {q.__name__: q for q in (p1_found, p1_projects, p4_found, p4_mapped, p6_ids, p6_roundtrip, p7_mix, p7_shares, p8_found, p8_forms)}
 SQL: dict[str, str] = {}
