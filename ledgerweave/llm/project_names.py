@@ -121,6 +121,15 @@ def _is_filler(word: str) -> bool:
     return word in FILLERS or (word not in _EXACT and len(word) >= 6 and any(near(word, f) <= 1 + (len(f) >= 15) for f in FILLERS if len(f) >= 7))
 
 
+@lru_cache(maxsize=200_000)
+def _street_word(word: str) -> str:
+    """A long street word with up to two typos, spelt right; else the word."""
+    if len(word) < 5 or word in STREETS or word in SIDES or _EXACT.get(word):
+        return word
+    best = min((near(word, s), s) for s in STREETS if len(s) >= 5)
+    return best[1] if best[0] <= (2 if len(word) >= 7 else 1) and word[:2] in (best[1][:2], best[1][0] + best[1][2]) else word
+
+
 def is_no_project(name: str | None) -> bool:
     return name is None or re.sub(r"[^a-z0-9]", "", name.lower()) in NO_PROJECT
 
@@ -139,7 +148,10 @@ def parts_of(name: str) -> Parts:
         kinds.add("sbif")
         tokens = [t for t in tokens if t != "sbif" and t not in fund]
     words, initials, numbers, sides = [], [], [], []
-    address = any(re.fullmatch(r"\d{1,5}", t) for t in tokens) and any(t in STREETS for t in tokens)
+    numbered = any(re.fullmatch(r"\d{1,5}", t) for t in tokens)
+    if numbered:
+        tokens = [_street_word(t) for t in tokens]
+    address = numbered and any(t in STREETS for t in tokens)
     for i, token in enumerate(tokens):
         if re.fullmatch(r"\d+[a-z]?", token):
             numbers.append(token)
@@ -156,7 +168,8 @@ def parts_of(name: str) -> Parts:
         elif len(token) == 1:
             initials.append(token)
         else:
-            words.append(token)
+            token = token.replace("kw", "qu").replace("fyld", "field")  # spelt as heard
+            words.append(token[:-3] if len(token) >= 9 and token.endswith("and") else token)  # "and" run on to the word
     block = "|".join((" ".join(sorted(kinds)), phase, "".join(sorted(sides)), " ".join(sorted(numbers))))
     return Parts(block, tuple(words), tuple(initials))
 
@@ -169,7 +182,7 @@ def rewritings(word: str) -> tuple[str, ...]:
     """The given names that a nickname stands for (one typo allowed in a longer one), else the word."""
     if word in NICKNAMES:
         return NICKNAMES[word]
-    if len(word) >= 5 and word not in GIVEN:
+    if len(word) >= 4 and word not in GIVEN:
         near_ones = {full for nick, fulls in NICKNAMES.items() if len(nick) >= 5 and near(word, nick) == 1 for full in fulls}
         if near_ones:
             return (word, *sorted(near_ones))
@@ -185,7 +198,7 @@ def _like(a: str, b: str, most: int) -> int:
     """Edits between two words of names, nicknames resolved; 3 if they are not one word."""
     best = min(near(x, y) for x in rewritings(a) for y in rewritings(b))
     short = min(len(a), len(b))
-    return best if best == 0 or (short >= 4 and best <= (most if short >= 7 else 1)) else 3
+    return best if best == 0 or (short >= 4 and best <= (most if short >= 6 else 1)) else 3
 
 
 def alike(left: list[str], left_initials: list[str], right: list[str], right_initials: list[str], numbered: bool) -> int | None:
@@ -229,13 +242,13 @@ def dropped(left: list[str], right: list[str]) -> bool:
     return not is_given(rest[0]) and not any(is_given(w) for w in short)
 
 
-def forms_of(words: list[str]) -> list[str]:
+def forms_of(words: list[str], numbered: bool = False) -> list[str]:
     """Forms under which a name can be met: each word, nicknames resolved, with at most one letter left out, and the words run together.
 
-    Two words at most one typo apart share a form.
+    Two words at most one typo apart share a form. A name with a house number is also met by that alone.
     """
     out = {w for word in words for r in rewritings(word) for w in (r, *(r[:i] + r[i + 1 :] for i in range(len(r)) if len(r) >= 4))}
-    return sorted(out | (_joined(list(words)) if words else {""}))
+    return sorted(out | (_joined(list(words)) if words else set()) | ({""} if numbered or not words else set()))
 
 
 def _joined(words: list[str]) -> set[str]:
