@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerweave.session import cut
@@ -20,7 +20,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
     links = cut(links)
     signature = None
     for _ in range(rounds):
-        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = links.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("x")).select("x.*")
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
@@ -31,4 +31,5 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
         if now == signature:
             break
         signature = now
-    return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+    pair = lambda n: F.struct(F.col(n).alias("node"), F.col("v").alias("component"))
+    return links.select(F.explode(F.array(pair("u"), pair("v"))).alias("x")).select("x.*").distinct()
