@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerweave.llm import canonical, mixing, name_variants, tokens, unicode_form
+from ledgerweave.llm import canonical, entity_link, mixing, name_variants, tokens, unicode_form
 from ledgerweave.sources.tables import table
 
 
@@ -18,6 +18,18 @@ def p1_projects(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("annual_row_id", F.sha1("project").alias("project_id"))
 
 
+def _p3(spark: SparkSession, folder: str) -> DataFrame:
+    return entity_link.link(table(spark, folder, "tif_pdf_projected_realized_mentions"), table(spark, folder, "tif_elms_matters"), table(spark, folder, "tif_district_universe"))
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _p3(spark, folder).select("mention_id", "matter_id")
+
+
+def p3_confidence(spark: SparkSession, folder: str) -> DataFrame:
+    return _p3(spark, folder)
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return canonical.found(table(spark, folder, "tif_district_legislation_candidates"), table(spark, folder, "tif_district_universe"))
 
@@ -52,5 +64,5 @@ def p8_forms(spark: SparkSession, folder: str) -> DataFrame:
     return unicode_form.normalised(table(spark, folder, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (p1_found, p1_projects, p4_found, p4_mapped, p6_ids, p6_roundtrip, p7_mix, p7_shares, p8_found, p8_forms)}
+QUERIES = {q.__name__: q for q in (p1_found, p1_projects, p3_found, p3_confidence, p4_found, p4_mapped, p6_ids, p6_roundtrip, p7_mix, p7_shares, p8_found, p8_forms)}
 SQL: dict[str, str] = {}
