@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerweave.llm import canonical, entity_link, mixing, name_variants, tokens, unicode_form
+from ledgerweave.llm import canonical, entity_link, mixing, name_variants, scan_noise, tokens, unicode_form
 from ledgerweave.sources.tables import table
 
 
@@ -18,6 +18,20 @@ def p1_projects(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("annual_row_id", F.sha1("project").alias("project_id"))
 
 
+def _scanned(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_noise.scanned_rows(
+        table(spark, folder, "tif_legacy_annual_report_projects_2010_2016"), table(spark, folder, "tif_legacy_pdf_project_audit_sample"), table(spark, folder, "tif_pdf_projected_realized_mentions")
+    )
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_noise.noise(_scanned(spark, folder))
+
+
+def p2_text(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_noise.repaired(_scanned(spark, folder))
+
+
 def _p3(spark: SparkSession, folder: str) -> DataFrame:
     return entity_link.link(table(spark, folder, "tif_pdf_projected_realized_mentions"), table(spark, folder, "tif_elms_matters"), table(spark, folder, "tif_district_universe"))
 
@@ -64,5 +78,5 @@ def p8_forms(spark: SparkSession, folder: str) -> DataFrame:
     return unicode_form.normalised(table(spark, folder, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (p1_found, p1_projects, p3_found, p3_confidence, p4_found, p4_mapped, p6_ids, p6_roundtrip, p7_mix, p7_shares, p8_found, p8_forms)}
+QUERIES = {q.__name__: q for q in (p1_found, p1_projects, p2_found, p2_text, p3_found, p3_confidence, p4_found, p4_mapped, p6_ids, p6_roundtrip, p7_mix, p7_shares, p8_found, p8_forms)}
 SQL: dict[str, str] = {}
