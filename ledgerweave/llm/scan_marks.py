@@ -34,7 +34,7 @@ _AROUND = ".,;:!?()[]{}\"'“”‘’*"
 #: What is read (left) in place of what is printed (right). Fixed values.
 MISREAD = (
     ("0", "o"), ("1", "l"), ("1", "i"), ("5", "s"), ("6", "b"), ("8", "b"), ("9", "g"), ("2", "z"), ("@", "a"), ("(", "c"), ("rn", "m"), ("ri", "n"), ("li", "h"), ("1i", "h"), ("l1", "h"),
-    ("cl", "d"), ("c1", "d"), ("ii", "u"), ("vv", "w"), ("f", "t"), ("c", "e"), ("y", "v"), ("j", "y"), ("d", "ct"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬀ", "ff"), ("'", "p"), ("·", "p"), ("l", "i"), ("nn", "m"), ("in", "m"),
+    ("cl", "d"), ("c1", "d"), ("ii", "u"), ("vv", "w"), ("f", "t"), ("c", "e"), ("y", "v"), ("j", "y"), ("d", "ct"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬀ", "ff"), ("'", "p"), ("·", "p"), ("l", "i"), ("nn", "m"), ("in", "m"), ("h", "li"), ("d", "cl"), ("m", "rn"), ("n", "ri"),
 )
 #: Digits as they are misread in numbers. Fixed values.
 _DIGIT = str.maketrans("olizsgbq", "01125968")
@@ -125,7 +125,7 @@ def odd(word: str) -> bool:
     """Whether letters and signs that are no letters stand in one word in a way that no right word has."""
     if len(word) < 3 or not re.search(r"[a-z]", word) or re.fullmatch(r"\d+(?:st|nd|rd|th|[a-z])|[a-z]\d+|\$?[\d,.]+", word):
         return False
-    return bool(re.search(r"[0-9@(ﬁﬂﬀ·]", word)) and len(re.findall(r"[a-z]", word)) * 2 >= len(word)
+    return bool(re.search(r"[0-9@(ﬁﬂﬀ·]|[a-z]'[a-z]{2,}", word)) and len(re.findall(r"[a-z]", word)) * 2 >= len(word)
 
 
 def suspect(word: str) -> bool:
