@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+_MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+#: Layouts and how each becomes year-month-day; a time after the date is dropped.
+_TIME = r"(?:[t ]\d{1,2}:\d\d.*)?$"
+_LAYOUTS = (
+    (r"^(\d{4})(\d\d)(\d\d)$", "$1-$2-$3"),
+    (r"^(\d{4})[-/](\d{1,2})[-/](\d{1,2})" + _TIME, "$1-$2-$3"),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})" + _TIME, "$3-$1-$2"),
+    (r"^([a-z]{3})[a-z]{0,6}\.? (\d{1,2}),? (\d{4})$", "$3-$1-$2"),
+    (r"^(\d{1,2})[- ]([a-z]{3})[a-z]{0,6}[- ,]+(\d{4})$", "$3-$2-$1"),
+)
 
 
 def parse_date(c: Column) -> Column:
@@ -13,30 +22,12 @@ def parse_date(c: Column) -> Column:
 
     Layouts: ``yyyy-mm-dd`` and ``yyyymmdd`` with or without a time, ``m/d/yyyy`` (month first),
     ``Month d, yyyy``, ``d-MON-yyyy`` and ``d Month yyyy``; white space around is ignored.
+
+    Each step uses the one before once, so that the generated code stays small.
     """
     s = F.lower(F.trim(F.regexp_replace(c.cast("string"), r"\s+", " ")))
-    time = r"(?:[t ]\d{1,2}:\d\d.*)?$"
-
-    def number(pattern: str, group: int, width: int) -> Column:
-        return F.lpad(F.regexp_extract(s, pattern, group), width, "0")
-
-    def month(pattern: str, group: int) -> Column:
-        at = F.position(F.substring(F.regexp_extract(s, pattern, group), 1, 3), F.lit(_MONTHS))
-        return F.when(at % 3 == 1, F.lpad(((at + 2) / 3).cast("int").cast("string"), 2, "0"))
-
-    def iso(y: Column, m: Column, d: Column) -> Column:
-        return F.concat(y, F.lit("-"), m, F.lit("-"), d)
-
-    dashed = r"^(\d{4})[-/](\d{1,2})[-/](\d{1,2})" + time
-    packed = r"^(\d{4})(\d\d)(\d\d)$"
-    slashed = r"^(\d{1,2})/(\d{1,2})/(\d{4})" + time
-    named = r"^([a-z]{3,9})\.? (\d{1,2}),? (\d{4})$"
-    daynamed = r"^(\d{1,2})[- ]([a-z]{3,9})[- ,]+(\d{4})$"
-    text = (
-        F.when(s.rlike(dashed), iso(number(dashed, 1, 4), number(dashed, 2, 2), number(dashed, 3, 2)))
-        .when(s.rlike(packed), iso(number(packed, 1, 4), number(packed, 2, 2), number(packed, 3, 2)))
-        .when(s.rlike(slashed), iso(number(slashed, 3, 4), number(slashed, 1, 2), number(slashed, 2, 2)))
-        .when(s.rlike(named), iso(number(named, 3, 4), month(named, 1), number(named, 2, 2)))
-        .when(s.rlike(daynamed), iso(number(daynamed, 3, 4), month(daynamed, 2), number(daynamed, 1, 2)))
-    )
-    return text.try_cast("date")
+    for pattern, iso in _LAYOUTS:
+        s = F.regexp_replace(s, pattern, iso)
+    for i, month in enumerate(_MONTHS, start=1):
+        s = F.replace(s, F.lit(f"-{month}-"), F.lit(f"-{i:02d}-"))
+    return F.nullif(F.regexp_extract(s, r"^\d{4}-\d{1,2}-\d{1,2}$", 0), F.lit("")).try_cast("date")
