@@ -1,0 +1,65 @@
+import json
+
+from pyspark.sql import functions as F
+
+from ledgerweave.sources import files, sinks
+from ledgerweave.sources.paged import PagedSource, with_retry
+from ledgerweave.streaming.append import append_unique_stream
+
+
+def test_csv_is_all_text_and_total(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('﻿id,name\n1,"two\nlines ""q"""\n2,\n', encoding="utf-8")
+    got = files.csv_table(spark, str(tmp_path / "a.csv"), ["id", "name", "absent"])
+    assert sorted(tuple(r) for r in got.collect()) == [("1", 'two\nlines "q"', ""), ("2", "", "")]
+    assert files.csv_table(spark, str(tmp_path / "none.csv"), ["id"]).count() == 0
+
+
+def test_sinks_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([("1", 'a "b"'), ("2", None)], "id string, t string")
+    sinks.write_csv(df, str(tmp_path / "o"), ["t", "id"])
+    assert sorted(tuple(r) for r in files.csv_table(spark, str(tmp_path / "o"), ["id", "t"]).collect()) == [("1", 'a "b"'), ("2", "")]
+    f = df.withColumn("c", F.array(F.lit(1.0), F.lit(2.0))).select(sinks.feature(F.lit("Point"), F.col("c"), ["id"]).alias("feature"))
+    doc = json.loads(sinks.feature_collection(f).first()[0])
+    assert doc["type"] == "FeatureCollection" and len(doc["features"]) == 2
+
+
+def test_paged_source_stops_at_a_short_page(spark, tmp_path):
+    for skip, n in ((0, 3), (3, 3), (6, 1)):
+        (tmp_path / f"{skip}.json").write_text(json.dumps({"rows": [{"id": skip + i, "t": "x"} for i in range(n)]}))
+    spark.dataSource.register(PagedSource)
+    got = spark.read.format("paged").schema("id string, t string").options(url=f"file:{tmp_path}", page_size="3", max_rows="100", pages_per_task="50").load()
+    assert sorted(int(r.id) for r in got.collect()) == list(range(7))
+    capped = spark.read.format("paged").schema("id string").options(url=f"file:{tmp_path}", page_size="3", max_rows="4").load()
+    assert capped.count() == 4
+
+
+def test_retry_gives_up_after_its_tries():
+    calls = []
+
+    def fail():
+        calls.append(1)
+        raise OSError
+
+    try:
+        with_retry(fail, tries=3, pause=0)
+    except OSError:
+        pass
+    assert len(calls) == 3
+
+
+def test_append_stream_goes_on_where_it_stopped(spark, tmp_path):
+    src, out, cp = (str(tmp_path / x) for x in ("src", "out", "cp"))
+    spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int").coalesce(1).write.parquet(src)
+    read = lambda: spark.readStream.schema("k string, v int").parquet(src)
+    append_unique_stream(read(), out, cp, ["k"], [F.asc("v")]).awaitTermination()
+    spark.createDataFrame([("b", 3), ("c", 4), ("c", 5)], "k string, v int").coalesce(1).write.mode("append").parquet(src)
+    append_unique_stream(read(), out, cp, ["k"], [F.asc("v")]).awaitTermination()
+    assert sorted((r.k, r.v) for r in spark.read.parquet(out).collect()) == [("a", 1), ("b", 2), ("c", 4)]
+
+
+def test_isolated_sources_report_failures(spark):
+    def bad():
+        raise ValueError("no")
+
+    opened, status = files.isolated({"good": lambda: spark.range(1), "bad": bad}, spark)
+    assert set(opened) == {"good"} and {(r.source, r.status) for r in status.collect()} == {("good", "ok"), ("bad", "failed")}
