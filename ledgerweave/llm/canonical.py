@@ -26,6 +26,8 @@ from ledgerweave.session import cut
 
 #: Jaccard similarity that a candidate has at least; one typo in a six-letter word keeps more.
 THRESHOLD = 0.4
+#: Rounding of products of the threshold must not cost a pair that reaches it exactly.
+SLACK = 1e-9
 #: Edits allowed in each place word.
 EDITS = 1
 
@@ -112,7 +114,7 @@ def similarity_join(left: DataFrame, right: DataFrame, threshold: float = THRESH
     frequency = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("f"))
     ordered = exploded.join(frequency, "token").groupBy("side", "id").agg(F.transform(F.array_sort(F.collect_list(F.struct("f", "token"))), lambda x: x["token"]).alias("set"))
     n = F.size("set")
-    prefix = ordered.select("side", "id", "set", F.posexplode(F.slice("set", F.lit(1), n - F.ceil(n * threshold).cast("int") + 1)).alias("at", "token"))
+    prefix = ordered.select("side", "id", "set", F.posexplode(F.slice("set", F.lit(1), n - F.ceil(n * threshold - SLACK).cast("int") + 1)).alias("at", "token"))
     a = prefix.filter("side = 0").select(F.col("id").alias("lid"), F.col("set").alias("ls"), F.col("at").alias("la"), "token")
     b = prefix.filter("side = 1").select(F.col("id").alias("rid"), F.col("set").alias("rs"), F.col("at").alias("ra"), "token")
     la, lb = F.size("ls"), F.size("rs")
@@ -120,13 +122,13 @@ def similarity_join(left: DataFrame, right: DataFrame, threshold: float = THRESH
     most = F.least(la - F.col("la"), lb - F.col("ra"))
     pairs = (
         a.join(b, "token")
-        .filter((la >= threshold * lb) & (lb >= threshold * la))
-        .filter(most + F.least("la", "ra") >= threshold / (1 + threshold) * (la + lb))
+        .filter((la >= threshold * lb - SLACK) & (lb >= threshold * la - SLACK))
+        .filter(most + F.least("la", "ra") >= threshold / (1 + threshold) * (la + lb) - SLACK)
         .select("lid", "rid", "ls", "rs")
         .dropDuplicates(["lid", "rid"])
     )
     both = F.size(F.array_intersect("ls", "rs"))
-    return pairs.select("lid", "rid", (both / (la + lb - both)).alias("jaccard")).filter(F.col("jaccard") >= threshold)
+    return pairs.select("lid", "rid", (both / (la + lb - both)).alias("jaccard")).filter(F.col("jaccard") >= threshold - SLACK)
 
 
 def listed_names(universe: DataFrame) -> DataFrame:
