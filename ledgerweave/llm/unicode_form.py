@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerweave.session import cut
+
 #: Letters of other scripts and the Latin letters they are drawn like. Fixed values.
 LOOK_ALIKE = {
     "Cyrillic": ("АВЕКМНОРСТХЅІЈԚԜаеорсухѕіјһԁԛԝӏ", "ABEKMHOPCTXSIJQWaeopcyxsijhdqwl"),
@@ -166,6 +168,7 @@ def same_look_pairs(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     """
     digest = df.select(F.col(key).alias("_k"), _digests(F.col(text)).alias("_d"))
     rows = digest.select("_k", F.col("_d.look").alias("_look"), F.col("_d.raw").alias("_raw")).filter("_k is not null and _look is not null").distinct()
+    rows = cut(rows)  # two digests a row; the texts are read and rewritten once
     mixed = rows.groupBy("_look").agg(F.min("_raw").alias("_lo"), F.max("_raw").alias("_hi")).filter("_lo <> _hi").select("_look")
     kept = rows.join(mixed, "_look", "left_semi")
     a = kept.select("_look", F.col("_k").alias("_ka"), F.col("_raw").alias("_ra"))
