@@ -64,3 +64,19 @@ def name_audit(pairs: DataFrame, a: str, b: str, least: float) -> DataFrame:
     blank = (F.coalesce(F.trim(a), F.lit("")) == "") | (F.coalesce(F.trim(b), F.lit("")) == "")
     scored = pairs.withColumn("score", F.round(ratio(F.col(a), F.col(b)), 4))
     return scored.withColumn("verdict", F.when(blank, "fail").when(F.col("score") < least, "warning").otherwise("pass"))
+
+
+def suggestions(left: DataFrame, right: DataFrame, key: str, name: str, place: str, right_key: str, least: float, strong: float) -> DataFrame:
+    """``(key, right_key, score, status)``: the likeliest right row of each left row by name, helped by the place.
+
+    The score is the name's likeness, or 0.65 of it and 0.35 of the place's, whichever is more. Pairs come from words of the
+    names that both have, so that no cross join is needed: names without a common word are not suggested.
+    """
+    word = lambda c: F.explode(F.array_distinct(F.filter(F.split(c, " "), lambda w: F.length(w) > 3))).alias("_w")
+    pairs = left.select(key, word(name)).join(right.select(right_key, word(name)), "_w").select(key, right_key).distinct()
+    a, b = left.select(key, F.col(name).alias("_a"), F.col(place).alias("_p")), right.select(right_key, F.col(name).alias("_b"), F.col(place).alias("_q"))
+    scored = pairs.join(a, key).join(b, right_key).withColumn("_n", ratio(F.col("_a"), F.col("_b"))).withColumn("_d", ratio(F.col("_p"), F.col("_q")))
+    scored = scored.withColumn("score", F.round(F.greatest(F.col("_n"), 0.65 * F.col("_n") + 0.35 * F.col("_d")), 3))
+    best = first_per_key(scored, [key], [F.desc("score"), F.asc(right_key)])
+    status = F.when(F.col("score") < least, "unmatched").when(F.col("score") < strong, "suggested").otherwise("strong_suggestion")
+    return best.select(key, right_key, "score", status.alias("status"))

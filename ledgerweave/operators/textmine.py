@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerweave.functions.coerce import money, months
 from ledgerweave.functions.spans import matches, nearest
+from ledgerweave.functions.text import person_name, strip_markup
 
 #: An amount with a dollar sign and an optional magnitude, or a number with a magnitude. Fixed value.
 MONEY = r"\$\s?[0-9][0-9,]*(?:\.[0-9]+)?(?:\s?(?:million|billion|thousand))?|\b[0-9][0-9,]*(?:\.[0-9]+)?\s?(?:million|billion|thousand)"
@@ -82,3 +83,28 @@ def project_blocks(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     pieces = F.slice(F.split(text, r"(?i)\bproject\s+\d+\s*:", -1), F.lit(2), F.size(marks))
     rows = df.select(*keys, F.explode(F.arrays_zip(marks.alias("n"), pieces.alias("b"))).alias("x"))
     return rows.select(*keys, F.col("x.n").cast("int").alias("project_number"), F.trim(F.regexp_replace("x.b", r"\s+", " ")).alias("block"))
+
+
+def anchor_blocks(df: DataFrame, keys: Sequence[str], position: str, line: str, anchor: str, stop: str, most: int) -> DataFrame:
+    """``(keys, block_no, block)``: each anchor line with what follows it, up to ``most`` lines in all, a stop line or the next anchor."""
+    order = Window.partitionBy(*keys).orderBy(position)
+    is_anchor = F.col(line).rlike(anchor)
+    numbered = df.withColumn("block_no", F.sum(is_anchor.cast("int")).over(order)).filter("block_no > 0")
+    inner = Window.partitionBy(*keys, "block_no").orderBy(position)
+    stopped = F.sum((F.col(line).rlike(stop) & ~is_anchor).cast("int")).over(inner)
+    kept = numbered.withColumn("_r", F.row_number().over(inner)).withColumn("_s", stopped).filter((F.col("_r") <= most) & (F.col("_s") == 0))
+    return kept.groupBy(*keys, "block_no").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(position, line))), lambda x: x[line]), " ").alias("block"))
+
+
+def section_pages(pages: DataFrame, keys: Sequence[str], page: str, text: str, anchor: str, most: int) -> DataFrame:
+    """Pages of the section that begins on the first page with the anchor: that page and up to ``most - 1`` after it."""
+    first = pages.filter(F.col(text).rlike(anchor)).groupBy(*keys).agg(F.min(page).alias("section_start"))
+    return pages.join(first, list(keys)).filter((F.col(page) >= F.col("section_start")) & (F.col(page) < F.col("section_start") + most))
+
+
+def roster(lines_: DataFrame, position: str, line: str) -> DataFrame:
+    """``(ward, name)`` of a wiki roster: headings ``=== Nth Ward ===``, below each ``* name`` or ``!scope="row"|name`` lines."""
+    ward = F.nullif(F.regexp_extract(line, r"(?i)^=+\s*(\d+)(?:st|nd|rd|th)\s+ward\s*=+", 1), F.lit("")).try_cast("int")
+    carried = lines_.withColumn("ward", F.last(ward, ignorenulls=True).over(Window.orderBy(position).rowsBetween(Window.unboundedPreceding, 0)))  # one page of at most 50 wards
+    name = F.regexp_extract(line, r"^(?:\*\s*|!\s*scope=\"row\"\s*\|\s*)(.+)$", 1)
+    return carried.filter((name != "") & F.col("ward").isNotNull()).select("ward", person_name(strip_markup(name)).alias("name")).distinct()

@@ -865,3 +865,42 @@ def rank_codes(read: Read) -> DataFrame:
     """Sort keys: a rank-coded label, and a number with a high default."""
     code = F.when(F.col("review_priority") == "highest", 0).when(F.col("review_priority") == "high", 1).when(F.col("review_priority") == "medium", 2).when(F.col("review_priority") == "low", 3).otherwise(9)
     return read(CANDIDATES).select("district_candidate_id", code.alias("rank"), F.coalesce(coerce.first_int(F.regexp_extract("source_start_page", r"\d+", 0)), F.lit(999999)).alias("page"))
+
+
+_ADDRESS = r"[0-9]{1,5} (?:North|South|East|West) [A-Z][a-z]+ (?:Street|Avenue|Boulevard|Parkway)"
+
+
+@query(
+    f"""SELECT matter_row_id, array_to_string(list_sort(list_distinct(regexp_extract_all(matter_title, '{_ADDRESS}'))), '; ') AS addresses,
+  array_to_string(list_sort(list_distinct(regexp_extract_all(matter_title, '\\$[0-9][0-9,]*'))), '; ') AS dollars FROM tif_elms_matters"""
+)
+def extracted_fields(read: Read) -> DataFrame:
+    all_of = lambda p: F.array_join(F.array_sort(F.array_distinct(F.regexp_extract_all("matter_title", F.lit(p), F.lit(0)))), "; ")
+    return read(MATTERS).select("matter_row_id", all_of(_ADDRESS).alias("addresses"), all_of(r"\$[0-9][0-9,]*").alias("dollars"))
+
+
+@query(
+    f"""WITH {_LINES}, a AS (SELECT doc_id, line_no, line, regexp_matches(line, '(?i)ordinance|agreement') AS is_a, regexp_matches(line, '(?i)whereas') AS is_s FROM l WHERE line <> ''),
+b AS (SELECT *, sum(CASE WHEN is_a THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS block_no FROM a),
+c AS (SELECT *, row_number() OVER (PARTITION BY doc_id, block_no ORDER BY line_no) AS r, sum(CASE WHEN is_s AND NOT is_a THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, block_no ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS s FROM b WHERE block_no > 0)
+SELECT doc_id, CAST(block_no AS BIGINT) AS block_no, string_agg(line, ' ' ORDER BY line_no) AS block FROM c WHERE r <= 3 AND s = 0 GROUP BY ALL"""
+)
+def anchor_blocks(read: Read) -> DataFrame:
+    return textmine.anchor_blocks(textmine.lines(read("documents"), ["doc_id"], "text"), ["doc_id"], "line_no", "line", "(?i)ordinance|agreement", "(?i)whereas", 3)
+
+
+@query(
+    """WITH f AS (SELECT pdf_file, min(page_number) AS section_start FROM tif_pdf_projected_realized_mentions WHERE regexp_matches(snippet, '(?i)construction period') GROUP BY 1)
+SELECT m.mention_id, f.section_start FROM tif_pdf_projected_realized_mentions m JOIN f ON m.pdf_file = f.pdf_file WHERE m.page_number >= section_start AND m.page_number < section_start + 3"""
+)
+def section_pages(read: Read) -> DataFrame:
+    return textmine.section_pages(read(MENTIONS), ["pdf_file"], "page_number", "snippet", "(?i)construction period", 3).select("mention_id", "section_start")
+
+
+@query()
+def project_suggestions(read: Read) -> DataFrame:
+    """For each legacy name the likeliest name of the overrides, helped by the district; tested on a small fixture."""
+    t = ids.canonical_district(F.col("tif_number")).alias("place")
+    left = read(LEGACY).select(text.norm_text(F.col("project_name")).alias("name"), t).filter("name <> ''").distinct().withColumn("id", F.concat_ws("|", "place", "name"))
+    right = read(OVERRIDES).select("override_id", text.norm_text(F.col("canonical_project_name")).alias("name"), t)
+    return match.suggestions(left, right, "id", "name", "place", "override_id", 0.72, 0.9)

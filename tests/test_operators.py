@@ -143,3 +143,21 @@ def test_window_text_skips_missing_pages(spark):
     windows = spark.createDataFrame([("d", 1, 3), ("d", 9, 8)], "doc string, s int, t int")
     pages = spark.createDataFrame([("d", 3, "c"), ("d", 1, "a")], "doc string, page int, txt string")
     assert [r.window_text for r in joins.window_text(windows, pages, ["doc"], "s", "t", "page", "txt").collect()] == ["a\nc"]
+
+
+def test_roster_carries_the_ward(spark):
+    text = ["=== 1st Ward ===", "* Smith, [[John Smith|John]]", '!scope="row"|Ann Lee Jr.', "note", "=== 22nd Ward ===", "* Ann Lee"]
+    df = spark.createDataFrame(list(enumerate(text)), "pos int, line string")
+    assert rows(textmine.roster(df, "pos", "line")) == [(1, "ann lee"), (1, "john smith"), (22, "ann lee")]
+
+
+def test_anchor_blocks_stop(spark):
+    df = spark.createDataFrame([("d", i, s) for i, s in enumerate(["x", "A one", "two", "three", "four", "A five", "stop", "six"])], "k string, pos int, line string")
+    assert rows(textmine.anchor_blocks(df, ["k"], "pos", "line", "^A", "^stop", 3)) == [("d", 1, "A one two three"), ("d", 2, "A five")]
+
+
+def test_suggestions_need_a_common_word(spark):
+    left = spark.createDataFrame([("a", "garden lofts", "T-1"), ("b", "nothing like it", "T-1")], "id string, name string, place string")
+    right = spark.createDataFrame([(1, "garden loft", "T-1"), (2, "garden lofts east wing", "T-2")], "rid int, name string, place string")
+    got = rows(match.suggestions(left, right, "id", "name", "place", "rid", 0.72, 0.9))
+    assert [(r[0], r[1], r[3]) for r in got] == [("a", 1, "strong_suggestion")]
