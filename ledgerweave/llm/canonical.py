@@ -140,7 +140,7 @@ def listed_names(universe: DataFrame) -> DataFrame:
 
 def map_names(names: DataFrame, universe: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(name, tif_number, jaccard, edits)`` for each distinct non-blank ``name`` that denotes a listed entry."""
-    raw = cut(_named(names.filter("trim(name) <> ''").select("name").distinct(), "name")).withColumnRenamed("name", "lid")  # parsed once, used five times
+    raw = cut(_named(names.filter(F.col("name").rlike(r"\S")).select("name").distinct(), "name")).withColumnRenamed("name", "lid")  # parsed once, used five times
     listed = _named(listed_names(universe), "name").withColumn("rid", F.concat_ws("\u0001", "tif_number", "name"))
     pairs = similarity_join(raw, listed, threshold)
     words = lambda d: d.select(F.explode("stems").alias("word")).filter(~F.col("word").rlike(r"^\d+$")).distinct()
@@ -160,7 +160,7 @@ def map_names(names: DataFrame, universe: DataFrame, threshold: float = THRESHOL
 def found(candidates: DataFrame, universe: DataFrame) -> DataFrame:
     """``(district_candidate_id, tif_number)`` of each row whose name is not blank and not exactly canonical."""
     exact = universe.select(F.col("canonical_tif_district").alias("name")).distinct()
-    rows = candidates.select("district_candidate_id", F.col("district_name_raw").alias("name")).filter("trim(name) <> ''").join(exact, "name", "left_anti")
+    rows = candidates.select("district_candidate_id", F.col("district_name_raw").alias("name")).filter(F.col("name").rlike(r"\S")).join(exact, "name", "left_anti")
     return rows.join(map_names(rows, universe), "name", "left").select("district_candidate_id", F.coalesce("tif_number", F.lit("")).alias("tif_number"))
 
 

@@ -84,10 +84,10 @@ def counted(documents: DataFrame, key: str = "doc_id", text: str = "text", sourc
 
 
 def budgets(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """``(source, target_share, max_repeats, budget)``."""
+    """``(source, target_share, max_repeats, budget, total)``; ``total`` is the tokens of all documents."""
     goal = targets.filter("source is not null").groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
     total = rows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))  # one row
-    return goal.crossJoin(F.broadcast(total)).select("source", "target_share", "max_repeats", F.round(F.col("target_share") * F.col("total")).cast("long").alias("budget"))
+    return goal.crossJoin(F.broadcast(total)).select("source", "target_share", "max_repeats", F.round(F.col("target_share") * F.col("total")).cast("long").alias("budget"), "total")
 
 
 def choose(rows: DataFrame, targets: DataFrame, seed: int = 17) -> DataFrame:
@@ -111,7 +111,7 @@ def choose(rows: DataFrame, targets: DataFrame, seed: int = 17) -> DataFrame:
 
 
 def shares(rows: DataFrame, chosen: DataFrame, targets: DataFrame) -> DataFrame:
-    """Report per source: budget, tokens reached, and the share of the mixture."""
+    """Report per source: budget, tokens reached, and their share of the mixture and of all tokens."""
     used = chosen.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum(F.col("n") * F.col("times")).alias("tokens"), F.max("times").alias("most_repeats"))
     report = budgets(rows, targets).join(used, "source", "left")
     all_tokens = F.sum(F.coalesce("tokens", F.lit(0))).over(Window.partitionBy())  # as many rows as there are targets
@@ -123,5 +123,6 @@ def shares(rows: DataFrame, chosen: DataFrame, targets: DataFrame) -> DataFrame:
         F.coalesce("tokens", F.lit(0)).alias("tokens"),
         F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"),
         F.round(F.coalesce("tokens", F.lit(0)) / F.nullif(all_tokens, F.lit(0)), 6).alias("share_reached"),
+        F.round(F.coalesce("tokens", F.lit(0)) / F.nullif(F.col("total"), F.lit(0)), 6).alias("share_of_all"),
         (F.col("budget") - F.coalesce("tokens", F.lit(0))).alias("short_by"),
     )
