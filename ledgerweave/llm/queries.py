@@ -24,12 +24,17 @@ def _scanned(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _typed(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of project names that were typed, not scanned."""
+    return scan_noise.lexicon(table(spark, folder, "tif_annual_report_projects"), "project_name")
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    return scan_noise.noise(_scanned(spark, folder))
+    return scan_noise.noise(_scanned(spark, folder), _typed(spark, folder))
 
 
 def p2_text(spark: SparkSession, folder: str) -> DataFrame:
-    return scan_noise.repaired(_scanned(spark, folder))
+    return scan_noise.repaired(_scanned(spark, folder), _typed(spark, folder))
 
 
 def _p3(spark: SparkSession, folder: str) -> DataFrame:

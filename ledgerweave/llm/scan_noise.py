@@ -24,9 +24,9 @@ from ledgerweave.llm.scan_marks import anagram, misreadings, number_of, odd, par
 from ledgerweave.session import cut
 
 #: A word that is right is at least so many times as frequent as its misreading.
-RATIO = 4
+RATIO = 2
 #: Least count of a word in the corpus that may stand for a misread one which holds no odd sign.
-KNOWN = 3
+KNOWN = 2
 
 _S, _B = T.StringType(), T.BooleanType()
 _TOKEN = T.StructType([T.StructField("word", _S), T.StructField("raw", _S), T.StructField("split", _S)])
@@ -122,12 +122,23 @@ def corrections(words: DataFrame) -> DataFrame:
     return changed.select("word", _rebuilt("word", "read", "prints").alias("printed")).unionByName(numbers)
 
 
-def resolved(scans: DataFrame) -> DataFrame:
-    """``(tbl, row_id, pos, raw, word, hyphen, glyph)`` of every token: ``word`` as it should read."""
+def lexicon(df: DataFrame, text: str) -> DataFrame:
+    """``(word, whole)``: words of texts that were not scanned, with their counts; they support words of the scanned ones."""
+    bare = lambda w: F.regexp_replace(w, r"^[^a-z0-9$]+|[^a-z0-9]+$", "")
+    return df.select(F.explode(F.transform(F.split(F.lower(text), r"\s+"), bare)).alias("word")).filter("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("whole"))
+
+
+def resolved(scans: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """``(tbl, row_id, pos, raw, word, hyphen, glyph)`` of every token: ``word`` as it should read.
+
+    ``known`` are words with counts from elsewhere (``lexicon``).
+    """
     tokens = scans.select("tbl", "row_id", F.posexplode("tokens").alias("pos", "t")).select("tbl", "row_id", "pos", "t.*")
     counts = tokens.filter("word <> ''").groupBy("word", "split").agg(F.count(F.lit(1)).alias("n"))
     counts = cut(counts)
     whole = counts.filter("split is null").select("word", F.col("n").alias("whole"))
+    if known is not None:
+        whole = cut(whole.unionByName(known).groupBy("word").agg(F.sum("whole").alias("whole")))
     # a split word is written as the corpus writes it unsplit: with a hyphen if that is the more frequent word
     splits = counts.filter("split is not null").select("word", "split", "n")
     choice = (
@@ -142,13 +153,13 @@ def resolved(scans: DataFrame) -> DataFrame:
     return chosen.join(fixed, "word", "left").select("tbl", "row_id", "pos", "raw", F.coalesce("printed", "word").alias("word"), F.col("split").isNotNull().alias("hyphen"), F.col("printed").isNotNull().alias("glyph"))
 
 
-def noise(rows: DataFrame) -> DataFrame:
+def noise(rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """``(tbl, row_id, noise, word)``, distinct, of rows ``(tbl, row_id, text)``."""
     scans = cut(scanned(rows))
     kinds = F.array_compact(F.array(F.when(F.col("header"), F.lit("header")), F.when(F.col("page"), F.lit("page"))))
     lines = scans.select("tbl", "row_id", F.explode(kinds).alias("noise"), F.lit("").alias("word"))
     marks = F.array_compact(F.array(F.when(F.col("hyphen"), F.lit("hyphen")), F.when(F.col("glyph"), F.lit("glyph"))))
-    words = resolved(scans).filter("word <> '' and (hyphen or glyph)").select("tbl", "row_id", F.explode(marks).alias("noise"), "word")
+    words = resolved(scans, known).filter("word <> '' and (hyphen or glyph)").select("tbl", "row_id", F.explode(marks).alias("noise"), "word")
     return lines.unionByName(words).distinct()
 
 
@@ -165,10 +176,10 @@ def _written(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Seri
         yield pd.Series(out, dtype=object)
 
 
-def repaired(rows: DataFrame) -> DataFrame:
+def repaired(rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """``(tbl, row_id, text)`` of every row: one continuous paragraph, null where the text is null."""
     scans = cut(scanned(rows))
-    tokens = resolved(scans).withColumn("out", F.when(F.col("hyphen") | F.col("glyph"), _written("raw", "word")).otherwise(F.col("raw")))
+    tokens = resolved(scans, known).withColumn("out", F.when(F.col("hyphen") | F.col("glyph"), _written("raw", "word")).otherwise(F.col("raw")))
     whole = tokens.groupBy("tbl", "row_id").agg(F.array_sort(F.collect_list(F.struct("pos", "out"))).alias("t"))
     paragraph = F.array_join(F.transform("t", lambda x: x["out"]), " ")
     return rows.select("tbl", "row_id", F.col("text").alias("was")).join(whole.select("tbl", "row_id", paragraph.alias("text")), ["tbl", "row_id"], "left").select("tbl", "row_id", F.when(F.col("was").isNotNull(), F.coalesce("text", F.lit(""))).alias("text"))
