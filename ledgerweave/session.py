@@ -40,3 +40,12 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over as many partitions as the session shuffles into.
+
+    Distinct keys are few bytes, so the adaptive planner would put them into one task; where Python works on each of
+    them, that task would be the whole query.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
