@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerweave.llm.district_names import near, words_of
-from ledgerweave.session import cut
+from ledgerweave.session import cut, spread
 
 #: Jaccard similarity that a candidate has at least; one typo in a six-letter word keeps more.
 THRESHOLD = 0.4
@@ -140,7 +140,7 @@ def listed_names(universe: DataFrame) -> DataFrame:
 
 def map_names(names: DataFrame, universe: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(name, tif_number, jaccard, edits)`` for each distinct non-blank ``name`` that denotes a listed entry."""
-    raw = cut(_named(names.filter(F.col("name").rlike(r"\S")).select("name").distinct(), "name")).withColumnRenamed("name", "lid")  # parsed once, used five times
+    raw = cut(_named(spread(names.filter(F.col("name").rlike(r"\S")).select("name").distinct()), "name")).withColumnRenamed("name", "lid")  # parsed once, used five times
     listed = _named(listed_names(universe), "name").withColumn("rid", F.concat_ws("\u0001", "tif_number", "name"))
     pairs = similarity_join(raw, listed, threshold)
     words = lambda d: d.select(F.explode("stems").alias("word")).filter(~F.col("word").rlike(r"^\d+$")).distinct()

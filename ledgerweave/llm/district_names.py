@@ -65,12 +65,21 @@ _GLUED = re.compile(
 )
 
 
+@lru_cache(maxsize=200_000)
 def near(a: str, b: str) -> int:
     """Edits between two words, a swap of neighbours being one (optimal string alignment); 3 stands for more than 2."""
     if a == b:
         return 0
     if abs(len(a) - len(b)) > 2:
         return 3
+    i = 0
+    while i < len(a) and i < len(b) and a[i] == b[i]:
+        i += 1
+    a, b = a[i:], b[i:]
+    while a and b and a[-1] == b[-1]:
+        a, b = a[:-1], b[:-1]
+    if not a or not b:
+        return min(len(a) + len(b), 3)
     before, row = None, list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         new = [i]
@@ -79,6 +88,8 @@ def near(a: str, b: str) -> int:
             if before is not None and j > 1 and x == b[j - 2] and a[i - 2] == y:
                 d = min(d, before[j - 2] + 1)
             new.append(d)
+        if min(new) > 2 and min(row) > 1:  # a swap reaches back two rows
+            return 3
         before, row = row, new
     return min(row[-1], 3)
 

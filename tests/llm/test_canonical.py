@@ -54,3 +54,19 @@ def test_edits(a, b, n):
 
 def test_words_of_junk():
     assert words_of(None) == (None, [], []) and words_of("") == (None, [], []) and words_of("()--//") == (None, [], [])
+
+
+def test_edits_against_the_textbook():
+    def osa(a, b):
+        d = [[max(i, j) if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+        for i, x in enumerate(a, 1):
+            for j, y in enumerate(b, 1):
+                d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (x != y))
+                if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                    d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+        return d[-1][-1]
+
+    rng = random.Random(1)
+    for _ in range(20_000):
+        a, b = ("".join(rng.choices("abc", k=rng.randint(0, 8))) for _ in range(2))
+        assert near(a, b) == (min(osa(a, b), 3) if abs(len(a) - len(b)) <= 2 else 3), (a, b)
