@@ -128,38 +128,48 @@ def lexicon(df: DataFrame, text: str) -> DataFrame:
     return df.select(F.explode(F.transform(F.split(F.lower(text), r"\s+"), bare)).alias("word")).filter("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("whole"))
 
 
-def resolved(scans: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """``(tbl, row_id, pos, raw, word, hyphen, glyph)`` of every token: ``word`` as it should read.
+def decisions(scans: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """``(word, split, printed, hyphen, glyph)`` of the words that are not as they should read: ``printed`` is how they should.
 
-    ``known`` are words with counts from elsewhere (``lexicon``).
+    ``split`` is the word with a hyphen where it was split, else empty. ``known`` are words with counts from elsewhere
+    (``lexicon``). All work is on distinct words.
     """
-    tokens = scans.select("tbl", "row_id", F.posexplode("tokens").alias("pos", "t")).select("tbl", "row_id", "pos", "t.*")
-    counts = tokens.filter("word <> ''").groupBy("word", "split").agg(F.count(F.lit(1)).alias("n"))
-    counts = cut(counts)
-    whole = counts.filter("split is null").select("word", F.col("n").alias("whole"))
+    counts = cut(scans.select(F.explode("tokens").alias("t")).filter("t.word <> ''").groupBy("t.word", F.coalesce("t.split", F.lit("")).alias("split")).agg(F.count(F.lit(1)).alias("n")))
+    whole = counts.filter("split = ''").select("word", F.col("n").alias("whole"))
     if known is not None:
         whole = cut(whole.unionByName(known).groupBy("word").agg(F.sum("whole").alias("whole")))
     # a split word is written as the corpus writes it unsplit: with a hyphen if that is the more frequent word
-    splits = counts.filter("split is not null").select("word", "split", "n")
-    choice = (
-        splits.join(whole.withColumnRenamed("whole", "run"), "word", "left")
+    choice = cut(
+        counts.filter("split <> ''")
+        .select("word", "split")
+        .join(whole.withColumnRenamed("whole", "run"), "word", "left")
         .join(whole.select(F.col("word").alias("split"), F.col("whole").alias("hyphened")), "split", "left")
-        .withColumn("as", F.when(F.coalesce("hyphened", F.lit(0)) > F.coalesce("run", F.lit(0)), F.col("split")).otherwise(F.col("word")))
+        .select("word", "split", F.when(F.coalesce("hyphened", F.lit(0)) > F.coalesce("run", F.lit(0)), F.col("split")).otherwise(F.col("word")).alias("as"))
     )
-    choice = cut(choice.select("word", "split", "n", "as"))
     words = whole.select("word", "whole").unionByName(choice.select(F.col("as").alias("word"), F.lit(0).cast("long").alias("whole"))).groupBy("word").agg(F.sum("whole").alias("whole"))
     fixed = cut(corrections(words))
-    chosen = tokens.join(choice.select("word", "split", "as"), ["word", "split"], "left").withColumn("word", F.coalesce("as", "word"))
-    return chosen.join(fixed, "word", "left").select("tbl", "row_id", "pos", "raw", F.coalesce("printed", "word").alias("word"), F.col("split").isNotNull().alias("hyphen"), F.col("printed").isNotNull().alias("glyph"))
+    every = choice.unionByName(counts.filter("split = ''").select("word", "split", F.col("word").alias("as")))
+    joined = every.join(fixed.select(F.col("word").alias("as"), "printed"), "as", "left").filter("split <> '' or printed is not null")
+    return cut(joined.select("word", "split", F.coalesce("printed", "as").alias("printed"), (F.col("split") != "").alias("hyphen"), F.col("printed").isNotNull().alias("glyph")))
+
+
+#: Decisions up to this number are sent to all tasks; more are joined by shuffling the tokens.
+SENT = 200_000
+
+
+def _sent(decided: DataFrame) -> DataFrame:
+    return F.broadcast(decided) if decided.count() <= SENT else decided
 
 
 def noise(rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """``(tbl, row_id, noise, word)``, distinct, of rows ``(tbl, row_id, text)``."""
-    scans = cut(scanned(rows))
+    short = F.transform("tokens", lambda t: F.struct(t["word"].alias("word"), t["split"].alias("split")))
+    scans = cut(scanned(rows).withColumn("tokens", short))
     kinds = F.array_compact(F.array(F.when(F.col("header"), F.lit("header")), F.when(F.col("page"), F.lit("page"))))
     lines = scans.select("tbl", "row_id", F.explode(kinds).alias("noise"), F.lit("").alias("word"))
     marks = F.array_compact(F.array(F.when(F.col("hyphen"), F.lit("hyphen")), F.when(F.col("glyph"), F.lit("glyph"))))
-    words = resolved(scans, known).filter("word <> '' and (hyphen or glyph)").select("tbl", "row_id", F.explode(marks).alias("noise"), "word")
+    tokens = scans.select("tbl", "row_id", F.explode("tokens").alias("t")).select("tbl", "row_id", F.col("t.word").alias("word"), F.coalesce("t.split", F.lit("")).alias("split"))
+    words = tokens.join(_sent(decisions(scans, known)), ["word", "split"]).filter("printed <> ''").select("tbl", "row_id", F.explode(marks).alias("noise"), F.col("printed").alias("word"))
     return lines.unionByName(words).distinct()
 
 
@@ -169,6 +179,9 @@ def _written(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Seri
     for raws, words in batches:
         out = []
         for raw, word in zip(raws, words, strict=True):
+            if word is None:  # Python gets every row, also those whose word stands
+                out.append(raw)
+                continue
             body = raw.strip(".,;:!?()[]{}\"'“”‘’*")
             at = raw.find(body) if body else 0
             shape = word.upper() if body.isupper() and len(body) > 1 else "-".join(p[:1].upper() + p[1:] if q[:1].isupper() else p for p, q in zip(word.split("-"), (body.split("-") + [""] * 9), strict=False))
@@ -179,7 +192,8 @@ def _written(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Seri
 def repaired(rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """``(tbl, row_id, text)`` of every row: one continuous paragraph, null where the text is null."""
     scans = cut(scanned(rows))
-    tokens = resolved(scans, known).withColumn("out", F.when(F.col("hyphen") | F.col("glyph"), _written("raw", "word")).otherwise(F.col("raw")))
+    tokens = scans.select("tbl", "row_id", F.posexplode("tokens").alias("pos", "t")).select("tbl", "row_id", "pos", "t.raw", F.col("t.word").alias("word"), F.coalesce("t.split", F.lit("")).alias("split"))
+    tokens = tokens.join(_sent(decisions(scans, known)), ["word", "split"], "left").withColumn("out", _written("raw", "printed"))
     whole = tokens.groupBy("tbl", "row_id").agg(F.array_sort(F.collect_list(F.struct("pos", "out"))).alias("t"))
     paragraph = F.array_join(F.transform("t", lambda x: x["out"]), " ")
     return rows.select("tbl", "row_id", F.col("text").alias("was")).join(whole.select("tbl", "row_id", paragraph.alias("text")), ["tbl", "row_id"], "left").select("tbl", "row_id", F.when(F.col("was").isNotNull(), F.coalesce("text", F.lit(""))).alias("text"))
