@@ -154,8 +154,18 @@ def person_names(read: Read) -> DataFrame:
     """SELECT doc_id, sha1(text) AS text_hash, length(trim(regexp_replace(text, '[ \\t\\n\\r]+', ' ', 'g'))) AS clean_chars FROM documents WHERE text IS NOT NULL AND regexp_matches(text, '^[\\x00-\\x7F]*$')"""
 )
 def text_hash(read: Read) -> DataFrame:
+    """The texts that are ASCII, as its SQL has them; ``text_hash_all`` has every text."""
+    return _hashes(read("documents").filter(F.col("text").rlike(r"^[\x00-\x7F]*$")))
+
+
+@query("""SELECT doc_id, sha1(text) AS text_hash, length(trim(regexp_replace(text, '[ \\t\\n\\r]+', ' ', 'g'))) AS clean_chars FROM documents WHERE text IS NOT NULL""")
+def text_hash_all(read: Read) -> DataFrame:
+    """SHA-1 of the UTF-8 bytes of every text, and its length in code points with runs of white space as one space."""
+    return _hashes(read("documents").filter("text is not null"))
+
+
+def _hashes(rows: DataFrame) -> DataFrame:
     t = F.col("text")
-    rows = read("documents").filter(t.rlike(r"^[\x00-\x7F]*$"))
     return rows.select("doc_id", F.sha1(t.cast("binary")).alias("text_hash"), F.length(F.trim(F.regexp_replace(t, r"[ \t\n\r]+", " "))).cast("long").alias("clean_chars"))
 
 
@@ -550,7 +560,7 @@ a AS (SELECT t, CASE WHEN regexp_matches(t, '(?i)not to exceed') THEN 3 WHEN reg
 SELECT t AS title, CASE WHEN w IS NOT NULL THEN substr(t, greatest(pos - 20, 1), 40) END AS snippet FROM a"""
 )
 def best_snippets(read: Read) -> DataFrame:
-    rows = read(MATTERS).select(F.col("matter_title").alias("title")).filter(F.col("title").rlike(r"^[\x00-\x7F]*$")).distinct()
+    rows = read(MATTERS).select(F.col("matter_title").alias("title")).filter("title is not null").distinct()
     return rows.select("title", textmine.best_snippet(F.col("title"), (("(?i)not to exceed", 3), ("(?i)agreement", 2), (r"\$", 1)), 20).alias("snippet"))
 
 
@@ -605,8 +615,13 @@ def html_links(read: Read) -> DataFrame:
 
 @query("""SELECT override_id, trim(trim(regexp_replace(canonical_project_name, '\\s+', ' ', 'g')) || ' & ' || coalesce(active, '')) AS plain FROM project_name_overrides WHERE NOT regexp_matches(canonical_project_name, '[<>{}\\[\\]|'']|&[a-z]')""")
 def strip_markup(read: Read) -> DataFrame:
-    rows = read(OVERRIDES).filter(~F.col("canonical_project_name").rlike(r"[<>{}\[\]|']|&[a-z]"))
-    marked = F.concat(F.lit("'''<b>[[Page|"), "canonical_project_name", F.lit("]]</b>'''{{cite}}<ref name=a>note</ref> &amp; "), F.coalesce("active", F.lit("")))
+    """Names are marked up and read again; what is markup in a name itself is escaped, and a name with brackets is in no link."""
+    rows = read(OVERRIDES).filter("canonical_project_name is not null")
+    name = F.col("canonical_project_name")
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("'", "&#39;")):
+        name = F.replace(name, F.lit(char), F.lit(entity))
+    link = F.when(name.rlike(r"[\[\]{}|]"), name).otherwise(F.concat(F.lit("[[Page|"), name, F.lit("]]")))
+    marked = F.concat(F.lit("'''<b>"), link, F.lit("</b>'''{{cite}}<ref name=a>note</ref> &amp; "), F.coalesce("active", F.lit("")))
     return rows.select("override_id", text.strip_markup(marked).alias("plain"))
 
 
