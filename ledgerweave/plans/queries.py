@@ -725,10 +725,28 @@ SELECT coalesce(a.tif_number, b.tif_number) AS tif_number, coalesce(a.project_nu
 FROM a FULL JOIN b ON a.tif_number = b.tif_number AND a.project_number = b.project_number"""
 )
 def full_outer_compare(read: Read) -> DataFrame:
+    """The reports of 2015, as its SQL has them; ``full_outer_compare_all`` has every year."""
     of = lambda t: read(t).filter("report_year = 2015 and tif_number is not null and project_number is not null").groupBy("tif_number", "project_number").agg(F.count(F.lit(1)).alias("n"))
     return joins.compare_outer(of(ANNUAL), of(LEGACY), ["tif_number", "project_number"], "n")
 
 
+_POSITIONS = f"SELECT nullif({_tif('tif_number')}, '') AS tif_key, report_year, project_number, count(*) AS n FROM"
+
+
+@query(
+    f"""WITH a AS ({_POSITIONS} tif_annual_report_projects GROUP BY ALL), b AS ({_POSITIONS} tif_legacy_annual_report_projects_2010_2016 GROUP BY ALL)
+SELECT coalesce(a.tif_key, b.tif_key) AS tif_key, coalesce(a.report_year, b.report_year) AS report_year, coalesce(a.project_number, b.project_number) AS project_number, a.n AS left_value, b.n AS right_value,
+  CASE WHEN a.n IS NULL THEN 'right_only' WHEN b.n IS NULL THEN 'left_only' WHEN a.n = b.n THEN 'same' ELSE 'differs' END AS verdict
+FROM a FULL JOIN b ON a.tif_key = b.tif_key AND a.report_year = b.report_year AND a.project_number = b.project_number"""
+)
+def full_outer_compare_all(read: Read) -> DataFrame:
+    """Both whole tables, the year in the key; rows that lack a part of the key meet nothing and are on their side only."""
+    keys = ["tif_key", "report_year", "project_number"]
+    key = F.nullif(ids.canonical_district(F.col("tif_number")), F.lit(""))
+    of = lambda t: read(t).withColumn("tif_key", key).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return joins.compare_outer(of(ANNUAL), of(LEGACY), keys, "n")
+
+
 @query(
     f"""WITH e AS (SELECT DISTINCT least(a, b) AS a, greatest(a, b) AS b FROM (SELECT {_tif("tif_number")} || ':' || {_norm("raw_project_name")} AS a, {_tif("tif_number")} || ':' || {_norm("canonical_project_name")} AS b FROM project_name_overrides) WHERE a <> b),
 u AS (SELECT a, b FROM e UNION SELECT b, a FROM e)

@@ -35,3 +35,15 @@ def test_names_with_marks_keep_them(run):
     names = ["Plain  Lofts", "O'Hare Citizens'", "A [B] C", "A|B", "x < y > z", "R&d &amp; lab", "{a}", None]
     got = {r.override_id: r.plain for r in run("strip_markup", project_name_overrides=([(i, n, "1") for i, n in enumerate(names)], "override_id long, canonical_project_name string, active string"))}
     assert got == {i: f"{' '.join(n.split())} & 1" for i, n in enumerate(names) if n is not None}
+
+
+def test_comparison_is_over_all_years_and_rows(run):
+    schema = "tif_number string, report_year int, project_number string"
+    annual = [("T-1", 2014, "1"), ("T-001", 2014, "1"), ("T-001", 2015, "1"), ("T_002", 2016, "3"), (None, 2016, "1"), ("T-001", 2016, None)]
+    legacy = [("T-001", 2014, "1"), ("T-001", 2013, "1"), ("T-002", 2016, "3"), ("T-001", 2016, None)]
+    got = run("full_outer_compare_all", tif_annual_report_projects=(annual, schema), tif_legacy_annual_report_projects_2010_2016=(legacy, schema))
+    want = [
+        ("T-001", 2014, "1", 2, 1, "differs"), ("T-001", 2015, "1", 1, None, "left_only"), ("T-001", 2013, "1", None, 1, "right_only"), ("T-002", 2016, "3", 1, 1, "same"),
+        (None, 2016, "1", 1, None, "left_only"), ("T-001", 2016, None, 1, None, "left_only"), ("T-001", 2016, None, None, 1, "right_only"),
+    ]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
