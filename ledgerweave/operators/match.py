@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from difflib import SequenceMatcher
+from functools import lru_cache
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerweave.functions.similarity import may_reach, ratio
 from ledgerweave.operators.rank import first_per_key
+from ledgerweave.session import spread
 
 
 def tiered_match(left: DataFrame, tiers: Sequence[tuple[str, DataFrame, Sequence[str]]], order: Sequence[Column], value: str, status: str = "match_status") -> DataFrame:
@@ -70,7 +76,8 @@ def suggestions(left: DataFrame, right: DataFrame, key: str, name: str, place: s
     """``(key, right_key, score, status)``: the likeliest right row of each left row by name, helped by the place.
 
     The score is the name's likeness, or 0.65 of it and 0.35 of the place's, whichever is more. Pairs come from words of the
-    names that both have, so that no cross join is needed: names without a common word are not suggested.
+    names that both have, so that no cross join is needed: names without a common word are not suggested
+    (``likeliest`` compares all).
     """
     word = lambda c: F.explode(F.array_distinct(F.filter(F.split(c, " "), lambda w: F.length(w) > 3))).alias("_w")
     pairs = left.select(key, word(name)).join(right.select(right_key, word(name)), "_w").select(key, right_key).distinct()
@@ -80,3 +87,94 @@ def suggestions(left: DataFrame, right: DataFrame, key: str, name: str, place: s
     best = first_per_key(scored, [key], [F.desc("score"), F.asc(right_key)])
     status = F.when(F.col("score") < least, "unmatched").when(F.col("score") < strong, "suggested").otherwise("strong_suggestion")
     return best.select(key, right_key, "score", status.alias("status"))
+
+
+class CommonLetters:
+    """A list of names, for upper bounds of the letters that a name and each of them have in common in one order.
+
+    The longest common subsequence, by a bit-parallel scan of all names at once; a name of more than 64 letters is scanned in parts,
+    whose sum is no less.
+    """
+
+    def __init__(self, names: Sequence[str]) -> None:
+        self.order = np.array(sorted(range(len(names)), key=lambda i: -len(names[i])), dtype=int)
+        self.codes = {c: i for i, c in enumerate(sorted(set().union(*names)))}
+        longest = [names[i] for i in self.order]
+        self.columns = []
+        for j in range(len(longest[0]) if longest else 0):
+            while len(longest[-1]) <= j:
+                longest.pop()
+            self.columns.append(np.array([self.codes[n[j]] for n in longest], dtype=np.int32))
+        self.lengths = np.array([len(n) for n in names], dtype=int)
+
+    def bound(self, name: str) -> np.ndarray:
+        """Upper bounds of the likeness of ``name`` and each of the names."""
+        common = np.zeros(len(self.order), dtype=int)
+        for at in range(0, len(name), 64):
+            masks = np.zeros(len(self.codes), dtype=np.uint64)
+            for i, c in enumerate(name[at : at + 64]):
+                if c in self.codes:
+                    masks[self.codes[c]] |= np.uint64(1 << i)
+            free = np.full(len(self.order), 2**64 - 1, dtype=np.uint64)
+            for column in self.columns:
+                v = free[: len(column)]
+                u = v & masks[column]
+                free[: len(column)] = (v + u) | (v - u)
+            common[self.order] += 64 - np.bitwise_count(free).astype(int)
+        total = len(name) + self.lengths
+        return np.where(total == 0, 1.0, np.minimum(2.0 * common / np.maximum(total, 1), 1.0))
+
+
+def likeliest(left: DataFrame, right: DataFrame, key: str, name: str, place: str, right_key: str, least: float, strong: float) -> DataFrame:
+    """``(key, right_key, score, status)`` of every left row: the likeliest of all right rows by name, helped by the place.
+
+    The score is that of ``suggestions``; a blank place is like none. The right rows are a list of names that every task has: of each left
+    name they are worked through from the highest upper bound of the score down, until the bound is below the best
+    score found, so that no pair that could be the best is left out. No right rows: unmatched, without a score.
+    """
+    listed = right.groupBy(F.coalesce(name, F.lit("")).alias("n"), F.coalesce(place, F.lit("")).alias("p")).agg(F.min(right_key).alias("k")).toPandas()
+    names, places = sorted(set(listed["n"])), sorted(set(listed["p"]))
+    of_name, of_place = listed["n"].map({n: i for i, n in enumerate(names)}).to_numpy(dtype=int), listed["p"].map({p: i for i, p in enumerate(places)}).to_numpy(dtype=int)
+    keys = listed["k"].tolist()
+    kinds = {f.name: f.dataType for f in [*left.schema, *right.schema]}
+    schema = T.StructType([T.StructField(key, kinds[key]), T.StructField(right_key, kinds[right_key]), T.StructField("score", T.DoubleType())])
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        letters = CommonLetters(names)
+
+        @lru_cache(maxsize=20_000)
+        def against(i: int) -> SequenceMatcher:
+            return SequenceMatcher(None, "", names[i])
+
+        @lru_cache(maxsize=20_000)
+        def near(p: str) -> np.ndarray:
+            return np.array([SequenceMatcher(None, p, q).ratio() if p and q else 0.0 for q in places])
+
+        @lru_cache(maxsize=1)
+        def bounds(a: str) -> np.ndarray:
+            return letters.bound(a)
+
+        for batch in batches:
+            out = []
+            for k, a, p in zip(batch[key], batch[name].fillna(""), batch[place].fillna(""), strict=True):
+                d = near(p)[of_place]
+                n = bounds(a)[of_name]
+                most = np.maximum(n, 0.65 * n + 0.35 * d)
+                top, found = 0.0, []
+                for i in np.argsort(-most, kind="stable"):
+                    # what is rounded to the best score can be less than it by a thousandth
+                    if most[i] < top - 0.0011:
+                        break
+                    m = against(of_name[i])
+                    m.set_seq1(a)
+                    r = m.ratio()
+                    score = max(r, 0.65 * r + 0.35 * d[i])
+                    top = max(top, score)
+                    found.append((k, keys[i], score))
+                out += [x for x in found if x[2] >= top - 0.0011] or [(k, None, None)]
+            yield pd.DataFrame(out, columns=[key, right_key, "score"])
+
+    scored = spread(left.select(key, name, place)).mapInPandas(best, schema).withColumn("score", F.round("score", 3))
+    one = first_per_key(scored, [key], [F.desc("score"), F.asc(right_key)])
+    status = F.when(F.coalesce(F.col("score") < least, F.lit(True)), "unmatched").when(F.col("score") < strong, "suggested").otherwise("strong_suggestion")
+    return one.select(key, right_key, "score", status.alias("status"))

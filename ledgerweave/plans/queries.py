@@ -932,8 +932,8 @@ def section_pages(read: Read) -> DataFrame:
 
 @query()
 def project_suggestions(read: Read) -> DataFrame:
-    """For each legacy name the likeliest name of the overrides, helped by the district; tested on a small fixture."""
+    """For each legacy name the likeliest of all names of the overrides, helped by the district; tested against plain Python."""
     t = ids.canonical_district(F.col("tif_number")).alias("place")
     left = read(LEGACY).select(text.norm_text(F.col("project_name")).alias("name"), t).filter("name <> ''").distinct().withColumn("id", F.concat_ws("|", "place", "name"))
     right = read(OVERRIDES).select("override_id", text.norm_text(F.col("canonical_project_name")).alias("name"), t)
-    return match.suggestions(left, right, "id", "name", "place", "override_id", 0.72, 0.9)
+    return match.likeliest(left, right, "id", "name", "place", "override_id", 0.72, 0.9)
