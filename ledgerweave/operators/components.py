@@ -15,6 +15,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
     the logarithm of the graph, and no node's neighbours are gathered in one task (neighbourhood minima are
     partial aggregates and are joined back). Lineage is cut each round in the shared checkpoint folder.
     Null ends and loops count for nothing; repeated edges count once; no edges give no rows.
+    If the links still change in the last of the rounds, that is an error.
     """
     links = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u is not null and v is not null and u <> v").distinct()
     links = cut(links)
@@ -31,5 +32,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
         if now == signature:
             break
         signature = now
+    else:
+        raise RuntimeError(f"components have not settled in {rounds} rounds")
     pair = lambda n: F.struct(F.col(n).alias("node"), F.col("v").alias("component"))
     return links.select(F.explode(F.array(pair("u"), pair("v"))).alias("x")).select("x.*").distinct()
