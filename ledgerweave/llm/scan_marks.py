@@ -1,4 +1,4 @@
-"""Marks that scanning leaves in a text: running headers, page numbers, split words, misread characters (used by problem 2).
+"""Misread characters of scanned words (used by problem 2).
 
 Pure functions of one string, so that they run in Arrow batches.
 """
@@ -8,29 +8,7 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 from itertools import combinations_with_replacement
-from typing import NamedTuple
-
-_DISTRICT = r"(?:\d+(?:st|nd|rd|th)/)?[A-Z][a-z]+(?:/[A-Z][a-z]+)?(?: (?:Industrial Corridor|North|South|East|West|Street|Avenue|Boulevard|Square|Commons|Crossing|Yards|Village|Terrace|Landing|Depot|Basin|Triangle|Plaza|Gardens))?"
-#: How running headers are worded. Fixed patterns.
-HEADERS = (
-    r"\d{4} REPORTS OF COMMITTEES",
-    r"JOURNAL--CITY COUNCIL--[A-Z]+",
-    r"SECTION \d+",
-    r"FY \d{4} ANNUAL REPORT",
-    r"City of [A-Z][a-z]+ - Tax Increment Financing",
-    rf"FY \d{{4}} TIF Name: {_DISTRICT}",
-    r"(?:[A-Z0-9][A-Z0-9/]* +)+REDEVELOPMENT PROJECT AREA",
-    r"Attachment [A-Z] \(FY \d{4}\)",
-)
-#: How page numbers are written. Fixed patterns.
-PAGES = (r"P a g e \| \d+", r"(?:Page|PAGE) \d+(?: (?:of|OF) \d+)?", r"pg\. \d+", r"(?<![\w-])- \d{1,4} -(?![\w-])", r"\[\d{1,4}\]", r"\[?\bp\. ?\d{1,4}\b\]?")
-_HEADER = re.compile(rf"(?:(?<![\w,.$-])(?P<before>\d{{1,4}}) {{2,}})?(?:{'|'.join(HEADERS)})(?: {{2,}}(?P<after>\d{{1,4}})(?![\w,]))?")
-_PAGE = re.compile("|".join(PAGES))
-_BARE = re.compile(r"^[ \t]*\d{1,3}[ \t]*$", re.M)
-_BARE_IN_WORD = re.compile(r"(?<=[a-z][-‐­]) +\d{1,3} +(?=[a-z])")
-_BARE_LAST = re.compile(r"(?<=[a-z0-9]\.) +\d{1,3} *$")
-_HYPHENS = "-‐­"
-_AROUND = ".,;:!?()[]{}\"'“”‘’*"
+
 #: What is read (left) in place of what is printed (right). Fixed values.
 MISREAD = (
     ("0", "o"), ("1", "l"), ("1", "i"), ("5", "s"), ("6", "b"), ("8", "b"), ("9", "g"), ("2", "z"), ("@", "a"), ("(", "c"), ("rn", "m"), ("ri", "n"), ("li", "h"), ("1i", "h"), ("l1", "h"),
@@ -42,69 +20,6 @@ _DIGIT = str.maketrans("olizsgbq", "01125968")
 MOST = 3
 
 
-class Token(NamedTuple):
-    raw: str
-    word: str
-    left: str | None
-    right: str | None
-
-
-def _bare(token: str) -> str:
-    """The token lower-cased, without punctuation around it."""
-    token = token.replace("­", "").replace("‐", "-")
-    if token.startswith("(") and ")" not in token and re.match(r"\([a-z0-9]{2}", token):  # a misread c
-        return token.rstrip(_AROUND).lower()
-    return token.strip(_AROUND).strip("-").lower()
-
-
-def scan(text: str | None, table: str = "") -> tuple[bool, bool, list[Token]]:
-    """Whether the text holds a running header, a page number, and its tokens without both.
-
-    A token split at a line end has ``left`` and ``right``; its word is both run together.
-    """
-    if not text:
-        return False, False, []
-    body, header, page = text.replace("\r\n", "\n").replace("\r", "\n"), False, False
-
-    def out(m: re.Match) -> str:
-        nonlocal header, page
-        if m.re is _HEADER:
-            header = True
-            page = page or bool(m.group("before") or m.group("after"))
-        else:
-            page = True
-        return "\x00"
-
-    body = _PAGE.sub(out, _HEADER.sub(out, body))
-    if "\n" in body:
-        body = _BARE.sub(out, body)
-    body = _BARE_IN_WORD.sub(out, body)
-    if not table.startswith("tif_legacy_annual"):
-        body = _BARE_LAST.sub(out, body)
-    body = re.sub(r"[ \t]*\n?[ \t]*\x00[ \t]*", lambda m: "\n" if "\n" in m.group() else " ", body)
-    body = re.sub(r"(?<=\w)·[ \t]?(?=\w)", "·", body)  # a misread p, with the space that its tail leaves
-    found, tokens, i = list(re.finditer(r"\S+", body)), [], 0
-    while i < len(found):
-        raw = found[i].group()
-        left = right = None
-        while i + 1 < len(found) and len(raw) > 1 and raw[-1] in _HYPHENS and (raw[-2].isalnum() or raw[-2] in "@('"):
-            gap, follows = body[found[i].end() : found[i + 1].start()], found[i + 1].group()
-            if _bare(follows) in ("and", "or", "to") or not (follows[0].isalnum() or follows[0] in "@("):
-                break
-            if "\n" not in gap and follows[0].isupper() and raw[-1] != "-":
-                break
-            left, right = raw[:-1], follows
-            raw = raw[:-1] + ("-" if follows[0].isupper() and raw[-1] == "-" else "") + follows
-            i += 1
-        tokens.append(Token(raw, _bare(raw), left, right))
-        i += 1
-    return header, page, tokens
-
-
-def with_hyphen(token: Token) -> str:
-    return _bare(f"{token.left}-{token.right}")
-
-
 def parts(word: str) -> list[str]:
     """Parts of a compound, between hyphens and slashes."""
     return [p for p in re.split(r"[-/]", word) if p]

@@ -1,6 +1,6 @@
 """Noise in text from scanned pages (problem 2).
 
-Running headers and page numbers are cut out by how their lines are worded. Words split at a line end are
+Running headers are learnt as lines that recur at page edges, and cut out with page numbers (``scan_lines``). Words split at a line end are
 put together as the corpus writes them: run together or with a hyphen, whichever is the more frequent word. Misread
 words are found by anagram hashing: a misreading changes a word's anagram number by a difference that
 depends on the letters changed only, so rare words are joined in SQL with frequent words whose numbers lie such differences away; the join's pairs are verified
@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerweave.llm.scan_marks import anagram, misreadings, number_of, odd, parts, plain, scan, suspect, targets, with_hyphen
+from ledgerweave.llm.scan_lines import bare, header_anchors, run_together, scanned, with_hyphens
+from ledgerweave.llm.scan_marks import anagram, misreadings, number_of, odd, parts, plain, suspect, targets
 from ledgerweave.session import cut
 
 #: A word that is right is at least so many times as frequent as its misreading.
@@ -29,22 +30,6 @@ RATIO = 2
 KNOWN = 2
 
 _S, _B = T.StringType(), T.BooleanType()
-_TOKEN = T.StructType([T.StructField("word", _S), T.StructField("raw", _S), T.StructField("split", _S)])
-_SCAN = T.StructType([T.StructField("header", _B), T.StructField("page", _B), T.StructField("tokens", T.ArrayType(_TOKEN))])
-
-
-@F.pandas_udf(_SCAN)
-def _scan(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-    for tables, texts in batches:
-        headers, pages, tokens = [], [], []
-        for table, text in zip(tables, texts, strict=True):
-            header, page, found = scan(text, table)
-            headers.append(header)
-            pages.append(page)
-            tokens.append([{"word": t.word, "raw": t.raw, "split": None if t.left is None else with_hyphen(t)} for t in found])
-        yield pd.DataFrame({"header": headers, "page": pages, "tokens": pd.Series(tokens, dtype=object)})
-
-
 _SUBWORD = T.StructType([T.StructField("odd", _B), T.StructField("suspect", _B), T.StructField("number", T.LongType()), T.StructField("targets", T.ArrayType(T.LongType()))])
 
 
@@ -95,11 +80,6 @@ def _rebuilt(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Itera
         yield pd.Series(out, dtype=object)
 
 
-def scanned(rows: DataFrame) -> DataFrame:
-    """``(tbl, row_id, header, page, tokens)`` of rows ``(tbl, row_id, text)``."""
-    return rows.withColumn("s", _scan("tbl", "text")).select("tbl", "row_id", F.col("s.header").alias("header"), F.col("s.page").alias("page"), F.col("s.tokens").alias("tokens"))
-
-
 def corrections(words: DataFrame) -> DataFrame:
     """``(word, printed)`` of misread words; input ``(word, n, whole)``: distinct words, their counts, and how often they stand unsplit.
 
@@ -129,47 +109,49 @@ def lexicon(df: DataFrame, text: str) -> DataFrame:
 
 
 def decisions(scans: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """``(word, split, printed, hyphen, glyph)`` of the words that are not as they should read: ``printed`` is how they should.
+    """``(token, printed, hyphen, glyph)`` of the tokens that are not as they should read: ``printed`` is the word as it should.
 
-    ``split`` is the word with a hyphen where it was split, else empty. ``known`` are words with counts from elsewhere
-    (``lexicon``). All work is on distinct words.
+    ``known`` are words with counts from elsewhere (``lexicon``). All work is on distinct tokens and words.
     """
-    counts = cut(scans.select(F.explode("tokens").alias("t")).filter("t.word <> ''").groupBy("t.word", F.coalesce("t.split", F.lit("")).alias("split")).agg(F.count(F.lit(1)).alias("n")))
-    whole = counts.filter("split = ''").select("word", F.col("n").alias("whole"))
+    counted = scans.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    read = counted.select("token", "n", bare(run_together(F.col("token"))).alias("word"), bare(with_hyphens(F.col("token"))).alias("split"))
+    read = cut(read.filter("word <> ''"))
+    whole = read.filter("split = ''").groupBy("word").agg(F.sum("n").alias("whole"))
     if known is not None:
-        whole = cut(whole.unionByName(known).groupBy("word").agg(F.sum("whole").alias("whole")))
+        whole = whole.unionByName(known).groupBy("word").agg(F.sum("whole").alias("whole"))
+    whole = cut(whole)
     # a split word is written as the corpus writes it unsplit: with a hyphen if that is the more frequent word
     choice = cut(
-        counts.filter("split <> ''")
-        .select("word", "split")
+        read.filter("split <> ''")
+        .select("token", "word", "split")
         .join(whole.withColumnRenamed("whole", "run"), "word", "left")
         .join(whole.select(F.col("word").alias("split"), F.col("whole").alias("hyphened")), "split", "left")
-        .select("word", "split", F.when(F.coalesce("hyphened", F.lit(0)) > F.coalesce("run", F.lit(0)), F.col("split")).otherwise(F.col("word")).alias("as"))
+        .select("token", "split", F.when(F.coalesce("hyphened", F.lit(0)) > F.coalesce("run", F.lit(0)), F.col("split")).otherwise(F.col("word")).alias("as"))
     )
     words = whole.select("word", "whole").unionByName(choice.select(F.col("as").alias("word"), F.lit(0).cast("long").alias("whole"))).groupBy("word").agg(F.sum("whole").alias("whole"))
     fixed = cut(corrections(words))
-    every = choice.unionByName(counts.filter("split = ''").select("word", "split", F.col("word").alias("as")))
+    every = choice.unionByName(read.filter("split = ''").select("token", "split", F.col("word").alias("as")))
     joined = every.join(fixed.select(F.col("word").alias("as"), "printed"), "as", "left").filter("split <> '' or printed is not null")
-    return cut(joined.select("word", "split", F.coalesce("printed", "as").alias("printed"), (F.col("split") != "").alias("hyphen"), F.col("printed").isNotNull().alias("glyph")))
+    return cut(joined.select("token", F.coalesce("printed", "as").alias("printed"), (F.col("split") != "").alias("hyphen"), F.col("printed").isNotNull().alias("glyph")))
 
 
-#: Decisions up to this number are sent to all tasks; more are joined by shuffling the tokens.
-SENT = 200_000
+#: Decisions of up to so many bytes are sent to all tasks; more are joined by shuffling the tokens.
+SENT = 64_000_000
 
 
 def _sent(decided: DataFrame) -> DataFrame:
-    return F.broadcast(decided) if decided.count() <= SENT else decided
+    size = decided.agg(F.coalesce(F.sum(F.octet_length("token") + F.octet_length("printed") + 64), F.lit(0))).first()[0]
+    return F.broadcast(decided) if size <= SENT else decided
 
 
 def noise(rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """``(tbl, row_id, noise, word)``, distinct, of rows ``(tbl, row_id, text)``."""
-    short = F.transform("tokens", lambda t: F.struct(t["word"].alias("word"), t["split"].alias("split")))
-    scans = cut(scanned(rows).withColumn("tokens", short))
+    scans = cut(scanned(rows, header_anchors(rows)))
     kinds = F.array_compact(F.array(F.when(F.col("header"), F.lit("header")), F.when(F.col("page"), F.lit("page"))))
     lines = scans.select("tbl", "row_id", F.explode(kinds).alias("noise"), F.lit("").alias("word"))
     marks = F.array_compact(F.array(F.when(F.col("hyphen"), F.lit("hyphen")), F.when(F.col("glyph"), F.lit("glyph"))))
-    tokens = scans.select("tbl", "row_id", F.explode("tokens").alias("t")).select("tbl", "row_id", F.col("t.word").alias("word"), F.coalesce("t.split", F.lit("")).alias("split"))
-    words = tokens.join(_sent(decisions(scans, known)), ["word", "split"]).filter("printed <> ''").select("tbl", "row_id", F.explode(marks).alias("noise"), F.col("printed").alias("word"))
+    tokens = scans.select("tbl", "row_id", F.explode("tokens").alias("token"))
+    words = tokens.join(_sent(decisions(scans, known)), "token").filter("printed <> ''").select("tbl", "row_id", F.explode(marks).alias("noise"), F.col("printed").alias("word"))
     return lines.unionByName(words).distinct()
 
 
@@ -179,9 +161,6 @@ def _written(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Seri
     for raws, words in batches:
         out = []
         for raw, word in zip(raws, words, strict=True):
-            if word is None:  # Python gets every row, also those whose word stands
-                out.append(raw)
-                continue
             body = raw.strip(".,;:!?()[]{}\"'“”‘’*")
             at = raw.find(body) if body else 0
             shape = word.upper() if body.isupper() and len(body) > 1 else "-".join(p[:1].upper() + p[1:] if q[:1].isupper() else p for p, q in zip(word.split("-"), (body.split("-") + [""] * 9), strict=False))
@@ -190,13 +169,17 @@ def _written(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Seri
 
 
 def repaired(rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """``(tbl, row_id, text)`` of every row: one continuous paragraph, null where the text is null."""
-    scans = cut(scanned(rows))
-    tokens = scans.select("tbl", "row_id", F.posexplode("tokens").alias("pos", "t")).select("tbl", "row_id", "pos", "t.raw", F.col("t.word").alias("word"), F.coalesce("t.split", F.lit("")).alias("split"))
-    tokens = tokens.join(_sent(decisions(scans, known)), ["word", "split"], "left").withColumn("out", _written("raw", "printed"))
-    whole = tokens.groupBy("tbl", "row_id").agg(F.array_sort(F.collect_list(F.struct("pos", "out"))).alias("t"))
-    paragraph = F.array_join(F.transform("t", lambda x: x["out"]), " ")
-    return rows.select("tbl", "row_id", F.col("text").alias("was")).join(whole.select("tbl", "row_id", paragraph.alias("text")), ["tbl", "row_id"], "left").select("tbl", "row_id", F.when(F.col("was").isNotNull(), F.coalesce("text", F.lit(""))).alias("text"))
+    """``(tbl, row_id, text)`` of every row: one continuous paragraph, null where the text is null.
+
+    Only the tokens that change travel; they are put back into their texts by position.
+    """
+    scans = cut(scanned(rows, header_anchors(rows)))
+    decided = decisions(scans, known).withColumn("out", _written(run_together(F.col("token")), "printed")).select("token", "out")
+    changed = scans.select("tbl", "row_id", F.posexplode("tokens").alias("pos", "token")).join(_sent(cut(decided.withColumnRenamed("out", "printed"))), "token")
+    fixes = changed.groupBy("tbl", "row_id").agg(F.map_from_entries(F.collect_list(F.struct("pos", "printed"))).alias("fix"))
+    paragraph = F.array_join(F.transform("tokens", lambda t, i: F.coalesce(F.col("fix")[i], run_together(t))), " ")
+    blank = rows.select("tbl", "row_id", F.col("text").isNull().alias("none")).filter("none")
+    return scans.join(fixes, ["tbl", "row_id"], "left").join(blank, ["tbl", "row_id"], "left").select("tbl", "row_id", F.when(F.col("none").isNull(), paragraph).alias("text"))
 
 
 def scanned_rows(legacy: DataFrame, audit: DataFrame, mentions: DataFrame) -> DataFrame:

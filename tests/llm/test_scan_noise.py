@@ -2,25 +2,59 @@ import random
 
 import pytest
 
-from ledgerweave.llm import scan_noise
-from ledgerweave.llm.scan_marks import anagram, misreadings, number_of, scan, targets
+from pyspark.sql import functions as F
+
+from ledgerweave.llm import scan_lines, scan_noise
+from ledgerweave.llm.scan_marks import anagram, misreadings, number_of, targets
 
 MENTION = "tif_pdf_projected_realized_mentions"
 
 
-@pytest.mark.parametrize(
-    "text,header,page",
-    [("a\n2013 REPORTS OF COMMITTEES\nb", True, False), ("a\n141   SECTION 7\nb", True, True), ("a\nP a g e | 12\nb", False, True), ("a\n19\nb", False, True), ("plain 19 text", False, False), ("x [p. 34] y", False, True), ("GLENSHAW EAST REDEVELOPMENT PROJECT AREA then", True, False), ("SBIF - Alpe Corridor", False, False), (None, False, False), ("", False, False)],
-)
-def test_edge_lines(text, header, page):
-    assert scan(text, MENTION)[:2] == (header, page)
+#: As ``header_anchors`` finds them: a line that never varies, one with a varying end, one with a varying beginning.
+ANCHORS = [(True, "# REPORTS OF", "# REPORTS OF COMMITTEES", "# REPORTS OF COMMITTEES", 4), (True, "SECTION #", "SECTION #", "SECTION #", 2), (True, "FY # TIF", "FY # TIF Name: Ash Road", "FY # TIF Name: Zed", 6), (False, "REDEVELOPMENT PROJECT AREA", "A REDEVELOPMENT PROJECT AREA", "Z EAST REDEVELOPMENT PROJECT AREA", 5)]
+
+
+def _scan(spark, texts, anchors=ANCHORS):
+    rows = spark.createDataFrame([("t", i, x) for i, x in enumerate(texts)], "tbl string, row_id long, text string")
+    return [r for r in sorted(scan_lines.scanned(rows, anchors).collect(), key=lambda r: r.row_id)]
+
+
+def test_edge_lines(spark):
+    cases = [
+        ("a\n2013 REPORTS OF COMMITTEES\nb", True, False), ("a\n141   SECTION 7\nb", True, True), ("a\nP a g e | 12\nb", False, True), ("a\r\n19\r\nb", False, True), ("plain 19 text", False, False), ("x [p. 34] y", False, True),
+        ("GLENSHAW EAST REDEVELOPMENT PROJECT AREA then", True, False), ("found no FY 2019 TIF Name: Calcroft West Page 115 of 133 settlement", True, True), ("SBIF - Alpe Corridor", False, False), ("North Ave Bldg. 12", False, False), ("was done. 12", False, True), (None, False, False), ("", False, False),
+    ]
+    assert [(r.header, r.page) for r in _scan(spark, [c[0] for c in cases])] == [c[1:] for c in cases]
+    assert [r.header for r in _scan(spark, ["a\nSECTION 7\nb"], [])] == [False]
+
 
+def test_tokens_join_over_lines_and_headers(spark):
+    def words(text):
+        (row,) = _scan(spark, [text])
+        both = spark.createDataFrame([(i, t) for i, t in enumerate(row.tokens)], "i int, t string")
+        c = F.col("t")
+        return [(r[0], r[1] != "") for r in both.orderBy("i").select(scan_lines.bare(scan_lines.run_together(c)), scan_lines.with_hyphens(c)).collect()]
 
-def test_tokens_join_over_lines_and_headers():
-    words = lambda t: [(x.word, x.left is not None) for x in scan(t, MENTION)[2]]
-    assert words("re-\ndevelop­ ment") == [("redevelop", True), ("ment", False)] or words("re-\ndevelop­ ment") == [("redevelopment", True)]
+    assert words("re-\ndevelop\u00ad ment") == [("redevelopment", True)]
     assert words("incur- 2023 REPORTS OF COMMITTEES   13 red costs") == [("incurred", True), ("costs", False)]
-    assert words("Pre- and post-\nwar") == [("pre", False), ("and", False), ("postwar", True)]
+    assert words("Pre- and post-\nwar (c0st) (ost.") == [("pre", False), ("and", False), ("postwar", True), ("c0st", False), ("(ost", False)]
+
+
+def test_headers_are_learnt_from_the_corpus(spark):
+    rng = random.Random(3)
+    words = "the developer will build and repair a long list of stores while most people wait for news about it in their own homes".split()
+    texts = []
+    for i in range(400):
+        lines = [" ".join(rng.choice(words) for _ in range(6)) for _ in range(4)]
+        if i % 4 == 0:
+            lines.insert(rng.randrange(5), rng.choice([f"{1990 + i % 30} ANNALS OF TOWNS", f"Record of {rng.choice(['Ash', 'Elm Road', 'Oak'])}"]))
+        texts.append("\n".join(lines))
+    rows = spark.createDataFrame([("t", i, x) for i, x in enumerate(texts)], "tbl string, row_id long, text string")
+    anchors = scan_lines.header_anchors(rows)
+    assert {a[1] for a in anchors if a[0]} >= {"# ANNALS OF"} and not any(w in a[1] for a in anchors for w in ("developer", "stores", "news"))
+    flagged = {r.row_id for r in scan_lines.scanned(rows, anchors).filter("header").collect()}
+    assert {i for i, x in enumerate(texts) if "ANNALS" in x} <= flagged <= {i for i in range(400) if i % 4 == 0}
+    assert scan_lines.header_anchors(rows.limit(0)) == []
 
 
 @pytest.mark.parametrize("read,printed", [("cornplete", "complete"), ("rcp0rts", "reports"), ("indiistrial", "industrial"), ("strudure", "structure"), ("townliomes", "townhomes"), ("c1eveloper", "developer"), ("pro'osed", "proposed"), ("dehver", "deliver")])
@@ -36,10 +70,10 @@ def test_numbers():
 def test_noise_and_repair(spark):
     good = "The developer will complete construction of the mixed-use building and reports progress on redevelopment. "
     rows = [(MENTION, i, good) for i in range(20)]
-    rows += [(MENTION, 100, "The c1eveloper will cornplete construc-\ntion of the mixed-\nuse building"), (MENTION, 101, None), (MENTION, 102, ""), (MENTION, 103, "reports\nSECTION 3\nprogress on rede- velopment"), (MENTION, 104, good * 400 + "rcp0rts")]
+    rows += [(MENTION, 100, "The c1eveloper will cornplete construc-\ntion of the mixed-\nuse building"), (MENTION, 101, None), (MENTION, 102, ""), (MENTION, 103, "reports\nSECTION 3\nprogress on rede- velopment"), *[(MENTION, 200 + i, "\n".join(x)) for i, x in enumerate([["SECTION 4", good, "of"], ["the use", "SECTION 5", "of"], ["building", "SECTION 6", good], ["of", "SECTION 7", "building"]])], (MENTION, 104, good * 400 + "rcp0rts")]
     df = spark.createDataFrame(rows, "tbl string, row_id long, text string").selectExpr("*", "'w' as word", "1 as page")
     got = {(r.row_id, r.noise, r.word) for r in scan_noise.noise(df.select("tbl", "row_id", "text")).collect()}
-    assert got == {(100, "glyph", "developer"), (100, "glyph", "complete"), (100, "hyphen", "construction"), (100, "hyphen", "mixed-use"), (103, "header", ""), (103, "hyphen", "redevelopment"), (104, "glyph", "reports")}
+    assert got == {(100, "glyph", "developer"), (100, "glyph", "complete"), (100, "hyphen", "construction"), (100, "hyphen", "mixed-use"), (103, "header", ""), *[(200 + i, "header", "") for i in range(4)], (103, "hyphen", "redevelopment"), (104, "glyph", "reports")}
     text = {r.row_id: r.text for r in scan_noise.repaired(df.select("tbl", "row_id", "text")).collect()}
     assert text[100] == "The developer will complete construction of the mixed-use building" and text[101] is None and text[102] == "" and text[103] == "reports progress on redevelopment"
     assert scan_noise.noise(df.select("tbl", "row_id", "text").limit(0)).count() == 0
