@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerweave.llm.scan_lines import bare, header_anchors, run_together, scanned, with_hyphens
+from ledgerweave.llm.scan_lines import bare, header_anchors, run_together, scanned, token_counts, tokens_but, with_hyphens
 from ledgerweave.llm.scan_marks import anagram, misreadings, number_of, odd, parts, plain, suspect, targets
 from ledgerweave.session import cut
 
@@ -109,12 +109,11 @@ def lexicon(df: DataFrame, text: str) -> DataFrame:
 
 
 def decisions(scans: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """``(token, printed, hyphen, glyph)`` of the tokens that are not as they should read: ``printed`` is the word as it should.
+    """``(token, n, printed, hyphen, glyph)`` of all tokens; ``printed`` is the word as it should read where that is not as it stands.
 
     ``known`` are words with counts from elsewhere (``lexicon``). All work is on distinct tokens and words.
     """
-    counted = scans.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    read = counted.select("token", "n", bare(run_together(F.col("token"))).alias("word"), bare(with_hyphens(F.col("token"))).alias("split"))
+    read = token_counts(scans).select("token", "n", bare(run_together(F.col("token"))).alias("word"), bare(with_hyphens(F.col("token"))).alias("split"))
     read = cut(read.filter("word <> ''"))
     whole = read.filter("split = ''").groupBy("word").agg(F.sum("n").alias("whole"))
     if known is not None:
@@ -130,9 +129,21 @@ def decisions(scans: DataFrame, known: DataFrame | None = None) -> DataFrame:
     )
     words = whole.select("word", "whole").unionByName(choice.select(F.col("as").alias("word"), F.lit(0).cast("long").alias("whole"))).groupBy("word").agg(F.sum("whole").alias("whole"))
     fixed = cut(corrections(words))
-    every = choice.unionByName(read.filter("split = ''").select("token", "split", F.col("word").alias("as")))
-    joined = every.join(fixed.select(F.col("word").alias("as"), "printed"), "as", "left").filter("split <> '' or printed is not null")
-    return cut(joined.select("token", F.coalesce("printed", "as").alias("printed"), (F.col("split") != "").alias("hyphen"), F.col("printed").isNotNull().alias("glyph")))
+    every = read.select("token", "n", "word", "split").join(choice.select("token", "as"), "token", "left").withColumn("as", F.coalesce("as", "word"))
+    joined = every.join(fixed.select(F.col("word").alias("as"), "printed"), "as", "left")
+    split = F.col("split") != ""
+    return cut(joined.select("token", "n", F.when(split | F.col("printed").isNotNull(), F.coalesce("printed", "as")).alias("printed"), split.alias("hyphen"), F.col("printed").isNotNull().alias("glyph")))
+
+
+#: The most frequent tokens that stand as they should, which are left out of the tokens before the join.
+CLEAN = 50_000
+
+
+def _decided(scans: DataFrame, known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Tokens of rows that may be decided on, and the decisions; the tokens left out are decided to stand."""
+    every = decisions(scans, known)
+    clean = [r.token for r in every.filter("printed is null").orderBy(F.desc("n"), "token").limit(CLEAN).select("token").collect()]
+    return tokens_but(scans, clean), every.filter("printed is not null and printed <> ''").drop("n")
 
 
 #: Decisions of up to so many bytes are sent to all tasks; more are joined by shuffling the tokens.
@@ -150,8 +161,8 @@ def noise(rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
     kinds = F.array_compact(F.array(F.when(F.col("header"), F.lit("header")), F.when(F.col("page"), F.lit("page"))))
     lines = scans.select("tbl", "row_id", F.explode(kinds).alias("noise"), F.lit("").alias("word"))
     marks = F.array_compact(F.array(F.when(F.col("hyphen"), F.lit("hyphen")), F.when(F.col("glyph"), F.lit("glyph"))))
-    tokens = scans.select("tbl", "row_id", F.explode("tokens").alias("token"))
-    words = tokens.join(_sent(decisions(scans, known)), "token").filter("printed <> ''").select("tbl", "row_id", F.explode(marks).alias("noise"), F.col("printed").alias("word"))
+    tokens, decided = _decided(scans, known)
+    words = tokens.join(_sent(decided), "token").select("tbl", "row_id", F.explode(marks).alias("noise"), F.col("printed").alias("word"))
     return lines.unionByName(words).distinct()
 
 
@@ -171,13 +182,13 @@ def _written(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Seri
 def repaired(rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """``(tbl, row_id, text)`` of every row: one continuous paragraph, null where the text is null.
 
-    Only the tokens that change travel; they are put back into their texts by position.
+    Only tokens that may change travel; what changes is put back into the texts.
     """
     scans = cut(scanned(rows, header_anchors(rows)))
-    decided = decisions(scans, known).withColumn("out", _written(run_together(F.col("token")), "printed")).select("token", "out")
-    changed = scans.select("tbl", "row_id", F.posexplode("tokens").alias("pos", "token")).join(_sent(cut(decided.withColumnRenamed("out", "printed"))), "token")
-    fixes = changed.groupBy("tbl", "row_id").agg(F.map_from_entries(F.collect_list(F.struct("pos", "printed"))).alias("fix"))
-    paragraph = F.array_join(F.transform("tokens", lambda t, i: F.coalesce(F.col("fix")[i], run_together(t))), " ")
+    tokens, decided = _decided(scans, known)
+    written = cut(decided.select("token", _written(run_together(F.col("token")), "printed").alias("printed")))
+    fixes = tokens.join(_sent(written), "token").groupBy("tbl", "row_id").agg(F.map_from_entries(F.collect_list(F.struct("token", "printed"))).alias("fix"))
+    paragraph = F.array_join(F.transform(F.split("body", " "), lambda t: F.coalesce(F.col("fix")[t], run_together(t))), " ")
     blank = rows.select("tbl", "row_id", F.col("text").isNull().alias("none")).filter("none")
     return scans.join(fixes, ["tbl", "row_id"], "left").join(blank, ["tbl", "row_id"], "left").select("tbl", "row_id", F.when(F.col("none").isNull(), paragraph).alias("text"))
 
