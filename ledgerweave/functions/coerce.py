@@ -36,16 +36,20 @@ def strict_float(c: Column) -> Column:
 
 
 def money(c: Column) -> Column:
-    """Amount with an optional magnitude word: thousand or k, million or m, billion or b."""
-    unit = F.lower(F.regexp_extract(c, r"(?i)[\d.)]\s*(billion|million|thousand|[bmk])\b", 1))
-    scale = F.when(unit.isin("billion", "b"), 1e9).when(unit.isin("million", "m"), 1e6).when(unit.isin("thousand", "k"), 1e3).otherwise(1.0)
-    return first_float(c) * scale
+    """Amount with an optional magnitude: billion or bn, million or m, thousand or k.
+
+    The first number counts, signs and brackets around it do not. A magnitude of one or two letters must be a word of its own,
+    so that ``$5m`` is 5 and ``$5 m`` is 5,000,000.
+    """
+    bare = F.trim(F.regexp_replace(F.lower(c), r"[$,()]", ""))
+    word = lambda long, short: bare.contains(long) | bare.rlike(rf"\b{short}\b")
+    return first_float(bare) * F.when(word("billion", "bn"), 1e9).when(word("million", "m"), 1e6).when(word("thousand", "k"), 1e3).otherwise(1.0)
 
 
 def months(c: Column) -> Column:
     """Duration in months; years count twelve."""
     n = first_float(c)
-    return F.when(F.lower(c).rlike(r"\byears?\b"), n * 12).when(F.lower(c).rlike(r"\bmonths?\b"), n)
+    return F.when(F.lower(c).rlike(r"(?:years?|yrs?)\b"), n * 12).when(F.lower(c).rlike(r"(?:months?|mos?)\b"), n)
 
 
 def date_key(c: Column) -> Column:

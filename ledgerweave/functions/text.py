@@ -90,3 +90,74 @@ def unique_join(items: Column, sep: str = "; ", most: int | None = None) -> Colu
     keys = F.transform(items, norm_text)
     kept = F.filter(items, lambda x, i: (norm_text(x) != "") & (F.array_position(keys, norm_text(x)) == i + 1))
     return F.array_join(F.slice(kept, 1, most) if most else kept, sep)
+
+
+def simplified(c: Column, phrases: Sequence[tuple[str, str]], stop: Sequence[str]) -> Column:
+    """Normal form with phrases rewritten, then without the given words."""
+    return F.array_join(F.filter(F.split(rewritten(c, phrases), " "), lambda t: ~t.isin(*stop)), " ")
+
+
+#: Misread words of scanned reports and how they read. Fixed values.
+REPAIRS = (
+    ("develo ment", "development"),
+    ("develo pment", "development"),
+    ("im rovement", "improvement"),
+    ("pro· eel", "project"),
+    ("pro'ect", "project"),
+    ("on oin", "ongoing"),
+    ("com lete", "complete"),
+    ("sstimated", "estimated"),
+)
+
+
+def repaired(c: Column, repairs: Sequence[tuple[str, str]] = REPAIRS) -> Column:
+    """Text with misread phrases replaced in any letter case, list signs and rules as spaces, CR as line ends; null reads as empty."""
+    out = F.coalesce(c, F.lit(""))
+    for bad, good in repairs:
+        literal = "".join(x if x.isalnum() or x == " " else f"\\{x}" for x in bad)
+        out = F.regexp_replace(out, f"(?i){literal}", good)
+    return F.translate(F.regexp_replace(F.translate(out, "•|[]", "    "), "[_`~]+", " "), "\r", "\n")
+
+
+def clean_name(c: Column, around: str = " -:;,.") -> Column:
+    """A name in one line, list signs dropped, without the signs around it."""
+    return F.btrim(F.regexp_replace(F.translate(F.coalesce(c, F.lit("")), "\f•*", "   "), r"\s+", " "), F.lit(around))
+
+
+def without_status(c: Column, status: str) -> Column:
+    """A name cut off where a status begins, cleaned."""
+    return clean_name(F.regexp_replace(clean_name(c), f"(?i)\\b(?:{status})\\b.*$", ""))
+
+
+def norm_scanned(c: Column, repairs: Sequence[tuple[str, str]] = (("proiect", "project"), ("companj", "company"))) -> Column:
+    """Normal form of scanned text, misread words replaced first."""
+    low = F.lower(F.coalesce(c, F.lit("")))
+    for bad, good in repairs:
+        low = F.replace(low, F.lit(bad), F.lit(good))
+    return norm_text(low)
+
+
+def ward_of_email(c: Column) -> Column:
+    return F.nullif(F.regexp_extract(F.lower(c), r"ward\s*0*([0-9]{1,2})", 1), F.lit("")).try_cast("int")
+
+
+def report_year(c: Column) -> Column:
+    """The first year of 20xx in a text."""
+    return F.nullif(F.regexp_extract(c, r"(20\d{2})", 1), F.lit("")).try_cast("int")
+
+
+def first_capture(c: Column, patterns: Sequence[str]) -> Column:
+    """First group of the first pattern that captures anything; null if none does."""
+    return F.coalesce(*[F.nullif(F.regexp_extract(c, p, 1), F.lit("")) for p in patterns])
+
+
+def spaced_stem(path: Column) -> Column:
+    """File name without folder, identifier, suffix and ending, words in camel case set apart."""
+    stem = F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.[A-Za-z]+$", "")
+    stem = F.regexp_replace(F.regexp_replace(stem, r"^T[_-]\d{3}_", ""), r"AR\d{2,4}$", "")
+    return F.trim(F.regexp_replace(stem, "([a-z])([A-Z])", "$1 $2"))
+
+
+def canonical_id(override: Column, master: Column, place: Column, name: Column) -> Column:
+    """Identifier of an entity: as stated, else that of its master row, else made of place and name."""
+    return F.coalesce(F.nullif(F.trim(override), F.lit("")), F.concat(F.lit("master_"), master), F.concat(F.lit("proj_"), place, F.lit("_"), slug(name)))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,10 +62,11 @@ def phrase_hits(texts: DataFrame, phrases: DataFrame, text_key: str, text: str,
     words = lambda c: F.split(norm_text(c), " ")
     normal = phrases.select(F.col(phrase_key).alias("_pk"), norm_text(F.col(phrase)).alias("_p")).filter("_p <> ''").distinct()
     normal = normal.withColumn("_w", F.split("_p", " ")).withColumn("_key", F.when(F.size("_w") > 1, F.concat_ws(" ", F.col("_w")[0], F.col("_w")[1])).otherwise(F.col("_w")[0]))
-    body = texts.select(F.col(text_key).alias("_tk"), words(F.col(text)).alias("_w"))
-    keys = F.array_distinct(F.concat(F.col("_w"), F.transform("_w", lambda x, i: F.when(i + 1 < F.size("_w"), F.concat_ws(" ", x, F.col("_w")[i + 1])))))
-    met = body.select("_tk", F.concat(F.lit(" "), F.array_join("_w", " "), F.lit(" ")).alias("_t"), F.explode(F.array_compact(keys)).alias("_key")).join(normal.select("_pk", "_p", "_key"), "_key")
-    return met.filter(F.position(F.concat(F.lit(" "), "_p", F.lit(" ")), "_t") > 0).select(F.col("_tk").alias(text_key), F.col("_pk").alias(phrase_key), F.col("_p").alias("phrase")).distinct()
+    keys = lambda w: F.array_distinct(F.array_compact(F.concat(w, F.transform(w, lambda x, i: F.when(i + 1 < F.size(w), F.concat_ws(" ", x, F.get(w, i + 1)))))))
+    # only keys travel; the text comes back for the pairs that met
+    met = texts.select(F.col(text_key).alias("_tk"), words(F.col(text)).alias("_w")).select("_tk", F.explode(keys(F.col("_w"))).alias("_key")).join(normal.select("_pk", "_p", "_key"), "_key").select("_tk", "_pk", "_p").distinct()
+    body = texts.select(F.col(text_key).alias("_tk"), F.concat(F.lit(" "), norm_text(F.col(text)), F.lit(" ")).alias("_t"))
+    return met.join(body, "_tk").filter(F.position(F.concat(F.lit(" "), "_p", F.lit(" ")), "_t") > 0).select(F.col("_tk").alias(text_key), F.col("_pk").alias(phrase_key), F.col("_p").alias("phrase")).distinct()
 
 
 def longest_hit(hits: DataFrame, text_key: str, phrase_key: str) -> DataFrame:
@@ -90,22 +90,42 @@ def compare_outer(left: DataFrame, right: DataFrame, keys: Sequence[str], value:
 def greedy_pairs(mentions: DataFrame, keys: Sequence[str], kind: str, first: str, second: str, position: str, tie: str, id_col: str) -> DataFrame:
     """Within each key, every mention of kind ``first``, in order of position, takes the unused one of kind ``second`` nearest to it.
 
-    What is free depends on the choices before, so a group is worked through in order, in Arrow batches; groups are
-    mentions of one metric in one document.
+    What is free depends on the choices before, so a group is folded in order: its two kinds are two sorted arrays, and one
+    ``aggregate`` takes from the free ones. Groups are mentions of one metric in one document.
     """
-    schema = ", ".join(f"{k} {dict(mentions.dtypes)[k]}" for k in keys) + f", first_id {dict(mentions.dtypes)[id_col]}, second_id {dict(mentions.dtypes)[id_col]}, distance long"
-
-    def pair(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([position, tie, id_col], kind="stable")
-        head, free, out = pdf.iloc[0], pdf[pdf[kind] == second], []
-        for _, row in pdf[pdf[kind] == first].iterrows():
-            if free.empty:
-                break
-            gap = (free[position] - row[position]).abs()
-            at = gap.idxmin()
-            out.append((*(head[k] for k in keys), row[id_col], free.loc[at, id_col], int(gap[at])))
-            free = free.drop(index=at)
-        return pd.DataFrame(out, columns=[*keys, "first_id", "second_id", "distance"])
-
-    rows = mentions.filter(F.col(kind).isin(first, second) & F.col(position).isNotNull()).select(*keys, kind, position, tie, id_col)
-    return rows.groupBy(*keys).applyInPandas(pair, schema)
+    rows = mentions.filter(F.col(kind).isin(first, second) & F.col(position).isNotNull())
+    item = F.struct(F.col(position).cast("long").alias("at"), F.col(tie).alias("tie"), F.col(id_col).alias("id"))
+    of = lambda k: F.array_sort(F.collect_list(F.when(F.col(kind) == k, item)))
+    sides = rows.groupBy(*keys).agg(of(first).alias("_a"), of(second).alias("_b")).filter((F.size("_a") > 0) & (F.size("_b") > 0))
+    id_type = dict(mentions.dtypes)[id_col]
+    start = F.struct(F.col("_b").alias("free"), F.array().cast(f"array<struct<first_id:{id_type},second_id:{id_type},distance:bigint>>").alias("out"))
+
+    def take(acc: Column, x: Column) -> Column:
+        best = F.array_min(F.transform(acc["free"], lambda f, i: F.struct(F.abs(f["at"] - x["at"]).alias("d"), i.alias("i"), f["id"].alias("id"))))
+        pair = F.struct(x["id"].alias("first_id"), best["id"].alias("second_id"), best["d"].alias("distance"))
+        return F.when(F.size(acc["free"]) == 0, acc).otherwise(F.struct(F.filter(acc["free"], lambda f, i: i != best["i"]).alias("free"), F.concat(acc["out"], F.array(pair)).alias("out")))
+
+    return sides.select(*keys, F.explode(F.aggregate("_a", start, take, lambda acc: acc["out"])).alias("_x")).select(*keys, "_x.*")
+
+
+#: Most keys that can be hot at once.
+HOT_KEYS = 10_000
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], rows: int = 20_000) -> DataFrame:
+    """Inner join where no task gets much more than ``rows`` left rows of one key.
+
+    A hot key is cut into parts, and its right rows go to each part. Keys with more than ``rows`` left rows, and more than one in ``HOT_KEYS`` of all left
+    rows, are hot; so there are at most ``HOT_KEYS`` of them, and their list is sent to all tasks.
+    """
+    keyed = left.filter(" and ".join(f"`{k}` is not null" for k in keys))
+    counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    most = max(rows, total // HOT_KEYS)
+    if total <= most:
+        return keyed.join(right, list(keys))
+    hot = F.broadcast(counts.filter(F.col("_n") > most).select(*keys, F.ceil(F.col("_n") / most).cast("int").alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1))
+    a = keyed.join(hot, list(keys), "left").withColumn("_salt", F.pmod(F.xxhash64(*left.columns), parts).cast("int")).drop("_parts")
+    b = right.join(hot, list(keys), "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return a.join(b, [*keys, "_salt"]).drop("_salt")

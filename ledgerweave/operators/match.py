@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerweave.functions.similarity import may_reach, ratio
+from ledgerweave.functions.text import canonical_id, without_words
+from ledgerweave.operators.joins import salted_join
 from ledgerweave.operators.rank import first_per_key
-from ledgerweave.session import spread
+from ledgerweave.session import cut, spread
 
 
 def tiered_match(left: DataFrame, tiers: Sequence[tuple[str, DataFrame, Sequence[str]]], order: Sequence[Column], value: str, status: str = "match_status") -> DataFrame:
@@ -36,18 +38,38 @@ def tiered_match(left: DataFrame, tiers: Sequence[tuple[str, DataFrame, Sequence
     return out.withColumn(value, F.coalesce(*[F.col(f"_{n}") for n in names])).withColumn(status, hit).drop(*[f"_{n}" for n in names])
 
 
-def best_fuzzy(left: DataFrame, right: DataFrame, block: Sequence[str], key: str, a: str, b: str, right_key: str, accept: float, suggest: bool = False) -> DataFrame:
+def letters(c: Column) -> Column:
+    """The letters of a text as a set, the second of a kind being another element than the first."""
+    chars = F.array_sort(F.split(c, ""))
+    return F.transform(chars, lambda x, i: F.concat(x, (i - F.array_position(chars, x)).cast("string")))
+
+
+def letters_reach(a: Column, b: Column, la: Column, lb: Column, least: float) -> Column:
+    """Whether two texts have so many letters in common, in any order, that their likeness may reach ``least``."""
+    return 2 * F.size(F.array_intersect(a, b)) >= least * (F.length(la) + F.length(lb)) - 1e-9
+
+
+def best_fuzzy(left: DataFrame, right: DataFrame, block: Sequence[str], key: str, pairs: Sequence[tuple[str, str]], right_key: str, accept: float, suggest: bool = False) -> DataFrame:
     """``(key, right_key, score, accepted)``: of each left row the likeliest right row of its block.
 
-    Pairs come from an equi-join on the block. Where only accepted pairs are wanted, those that cannot reach ``accept`` by
-    their lengths are left out before the likeness runs; with ``suggest`` the best pair below it is wanted too, so none is.
+    The score is the greatest likeness of several pairs of columns, blanks counting for nothing; ties go to the smaller key. Pairs of rows come from an
+    equi-join on the block, a hot block in parts. Where only accepted pairs are wanted, those that cannot reach ``accept`` by
+    their lengths and letters are left out before the likeness runs; with ``suggest`` the best pair below it is wanted too, so none is.
     """
-    pairs = left.select(key, *block, a).join(right.select(right_key, *block, b), list(block))
+    lefts, rights = sorted({a for a, _ in pairs}), sorted({b for _, b in pairs})
+    a = left.select(key, *block, *lefts, *[letters(F.col(c)).alias(f"_{c}") for c in lefts])
+    b = right.select(right_key, *block, *rights, *[letters(F.col(c)).alias(f"_{c}") for c in rights])
+    met = salted_join(a, b, block)
+    may = F.lit(False)
+    for x, y in pairs:
+        may = may | ((F.col(x) != "") & (F.col(y) != "") & may_reach(F.col(x), F.col(y), accept) & letters_reach(F.col(f"_{x}"), F.col(f"_{y}"), F.col(x), F.col(y), accept))
     if not suggest:
-        pairs = pairs.filter(may_reach(F.col(a), F.col(b), accept))
-    scored = pairs.withColumn("score", F.round(ratio(F.col(a), F.col(b)), 4))
-    best = first_per_key(scored, [key], [F.desc("score"), F.asc(right_key)])
-    out = best.select(key, right_key, "score", (F.col("score") >= accept).alias("accepted"))
+        met = met.filter(may)
+    met = met.select(key, right_key, *lefts, *rights)
+    each = [F.when((F.col(x) != "") & (F.col(y) != ""), ratio(F.col(x), F.col(y))).otherwise(0.0) for x, y in pairs]
+    scored = met.select(key, right_key, F.round(F.greatest(*each) if len(each) > 1 else each[0], 4).alias("score"))
+    best = scored.groupBy(key).agg(F.min(F.struct((-F.col("score")).alias("s"), F.col(right_key).alias("k"))).alias("b"))
+    out = best.select(key, F.col("b.k").alias(right_key), (-F.col("b.s")).alias("score"), (-F.col("b.s") >= accept).alias("accepted"))
     return out if suggest else out.filter("accepted")
 
 
@@ -72,23 +94,6 @@ def name_audit(pairs: DataFrame, a: str, b: str, least: float) -> DataFrame:
     return scored.withColumn("verdict", F.when(blank, "fail").when(F.col("score") < least, "warning").otherwise("pass"))
 
 
-def suggestions(left: DataFrame, right: DataFrame, key: str, name: str, place: str, right_key: str, least: float, strong: float) -> DataFrame:
-    """``(key, right_key, score, status)``: the likeliest right row of each left row by name, helped by the place.
-
-    The score is the name's likeness, or 0.65 of it and 0.35 of the place's, whichever is more. Pairs come from words of the
-    names that both have, so that no cross join is needed: names without a common word are not suggested
-    (``likeliest`` compares all).
-    """
-    word = lambda c: F.explode(F.array_distinct(F.filter(F.split(c, " "), lambda w: F.length(w) > 3))).alias("_w")
-    pairs = left.select(key, word(name)).join(right.select(right_key, word(name)), "_w").select(key, right_key).distinct()
-    a, b = left.select(key, F.col(name).alias("_a"), F.col(place).alias("_p")), right.select(right_key, F.col(name).alias("_b"), F.col(place).alias("_q"))
-    scored = pairs.join(a, key).join(b, right_key).withColumn("_n", ratio(F.col("_a"), F.col("_b"))).withColumn("_d", ratio(F.col("_p"), F.col("_q")))
-    scored = scored.withColumn("score", F.round(F.greatest(F.col("_n"), 0.65 * F.col("_n") + 0.35 * F.col("_d")), 3))
-    best = first_per_key(scored, [key], [F.desc("score"), F.asc(right_key)])
-    status = F.when(F.col("score") < least, "unmatched").when(F.col("score") < strong, "suggested").otherwise("strong_suggestion")
-    return best.select(key, right_key, "score", status.alias("status"))
-
-
 class CommonLetters:
     """A list of names, for upper bounds of the letters that a name and each of them have in common in one order.
 
@@ -128,7 +133,7 @@ class CommonLetters:
 def likeliest(left: DataFrame, right: DataFrame, key: str, name: str, place: str, right_key: str, least: float, strong: float) -> DataFrame:
     """``(key, right_key, score, status)`` of every left row: the likeliest of all right rows by name, helped by the place.
 
-    The score is that of ``suggestions``; a blank place is like none. The right rows are a list of names that every task has: of each left
+    The score is the name's likeness, or 0.65 of it and 0.35 of the place's, whichever is more; a blank place is like none. The right rows are a list of names that every task has: of each left
     name they are worked through from the highest upper bound of the score down, until the bound is below the best
     score found, so that no pair that could be the best is left out. No right rows: unmatched, without a score.
     """
@@ -178,3 +183,76 @@ def likeliest(left: DataFrame, right: DataFrame, key: str, name: str, place: str
     one = first_per_key(scored, [key], [F.desc("score"), F.asc(right_key)])
     status = F.when(F.coalesce(F.col("score") < least, F.lit(True)), "unmatched").when(F.col("score") < strong, "suggested").otherwise("strong_suggestion")
     return one.select(key, right_key, "score", status.alias("status"))
+
+
+def entity_match(annual: DataFrame, overrides: DataFrame, listed: DataFrame, accept: float) -> DataFrame:
+    """``(t, p, target, match_status, score, project_id)`` of distinct names ``(t, p, s, name)``: place, normal form, simplified form, as typed.
+
+    Tiers, each tried only where the ones before found nothing: statements ``(t, p, target)``; entries ``(t, p, s, q, d, target)`` of the place
+    by equal normal form, simplified form, and simplified second name ``d``; then the likeliest entry of the place by the greatest of four
+    likenesses (both forms to both names), if it reaches ``accept``. An entry of that kind is to be reviewed.
+    """
+    tiers = [
+        ("manual_override", overrides, ["t", "p"]), ("exact", listed, ["t", "p"]), ("normalized", listed, ["t", "s"]), ("normalized_second", listed.select("t", F.col("d").alias("s"), "target"), ["t", "s"]),
+    ]
+    tiered = cut(tiered_match(annual, tiers, [F.asc("target")], "target"))
+    rest = tiered.filter("match_status = 'unmatched'").select("t", "p", "s", F.concat_ws("|", "t", "p").alias("id"))
+    entries = listed.groupBy("t", F.col("p").alias("lp"), F.col("s").alias("ls"), F.col("q").alias("lq"), F.col("d").alias("ld")).agg(F.min("target").alias("fuzzy"))
+    likely = best_fuzzy(rest, entries, ["t"], "id", [("s", "ls"), ("p", "lp"), ("s", "ld"), ("p", "lq")], "fuzzy", accept).select("id", "fuzzy", "score")
+    joined = tiered.withColumn("id", F.concat_ws("|", "t", "p")).join(likely, "id", "left")
+    status = F.when(F.col("fuzzy").isNotNull(), "fuzzy_review").when(F.col("match_status") == "normalized_second", "normalized").otherwise(F.col("match_status"))
+    target = F.coalesce("target", "fuzzy")
+    return joined.select("t", "p", target.alias("target"), status.alias("match_status"), "score", canonical_id(F.lit(""), target.cast("string"), F.col("t"), F.col("name")).alias("project_id"))
+
+
+#: Scores of the rungs above likeness: equal keys, equal loose keys, one phrase in the other. Fixed values.
+CANONICAL, EQUAL, LOOSE_CANONICAL, LOOSE, CONTAINED = 1.02, 1.0, 0.99, 0.98, 0.93
+
+
+def full_ladder(names: DataFrame, listed: DataFrame, drop: Sequence[str], loose_drop: Sequence[str]) -> DataFrame:
+    """``(name, entry, score, status)``: the listed entry that a name reaches on the highest rung.
+
+    Keys are normal forms without ``drop`` words, loose keys without ``loose_drop`` words; a loose key counts if it has two words or a digit. ``listed``
+    has ``(entry, listed, canonical)`` and is a reference list that every task has. Below the rungs counts the greater of likeness and
+    common words; entries that cannot beat the best are passed over by an upper bound. Ties go to the smaller entry.
+    """
+    keys = [without_words(F.col("listed"), drop).alias("key"), without_words(F.col("listed"), loose_drop).alias("loose")]
+    rows = listed.select("entry", "canonical", *keys).filter("key <> ''").groupBy("entry", "key", "loose").agg(F.max("canonical").alias("canonical")).orderBy("entry", "key").collect()
+    entries = [(r["entry"], r["key"], r["loose"], bool(r["canonical"])) for r in rows]
+
+    def climb(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        letters, words = CommonLetters([k for _, k, _, _ in entries]), [set(k.split()) for _, k, _, _ in entries]
+        equal: dict[str, list[int]] = {}
+        loose: dict[str, list[int]] = {}
+        for i, (_, k, lo, _) in enumerate(entries):
+            equal.setdefault(k, []).append(i)
+            if len(lo.split()) > 1 or any(c.isdigit() for c in lo):
+                loose.setdefault(lo, []).append(i)
+
+        def best(key: str, loosely: str) -> tuple[float, str] | None:
+            if not key or not entries:
+                return None
+            found = [(CANONICAL if entries[i][3] else EQUAL, i) for i in equal.get(key, [])] + [(LOOSE_CANONICAL if entries[i][3] else LOOSE, i) for i in loose.get(loosely, [])]
+            top = max(((s, -i) for s, i in found), default=(-1.0, 0))
+            if top[0] < EQUAL:
+                own = set(key.split())
+                bounds = letters.bound(key)
+                for i, (_, k, _, _) in enumerate(entries):
+                    common = len(own & words[i])
+                    if len(own) > 1 and len(words[i]) > 1 and (f" {key} " in f" {k} " or f" {k} " in f" {key} "):
+                        score = CONTAINED
+                    elif max(bounds[i], common / len(own | words[i])) < top[0]:
+                        continue
+                    else:
+                        score = max(SequenceMatcher(None, key, k).ratio(), common / len(own | words[i]))
+                    top = max(top, (score, -i))
+            return top[0], entries[-top[1]][0]
+
+        for batch in batches:
+            yield pd.DataFrame([(n, *(b[::-1] if (b := best(k, lo)) else (None, None))) for n, k, lo in zip(batch["name"], batch["key"], batch["loose"], strict=True)], columns=["name", "entry", "score"])
+
+    forms = names.select("name", without_words(F.col("name"), drop).alias("key"), without_words(F.col("name"), loose_drop).alias("loose"))
+    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("entry", listed.schema["entry"].dataType), T.StructField("score", T.DoubleType())])
+    scored = spread(forms).mapInPandas(climb, schema).withColumn("score", F.round("score", 3))
+    status = F.when(F.col("score") >= 0.999, "exact").when(F.col("score") >= 0.86, "strong_fuzzy").when(F.col("score") >= 0.72, "fuzzy_review").otherwise("unmatched")
+    return scored.select("name", F.when(F.col("score") >= 0.72, F.col("entry")).alias("entry"), "score", status.alias("status"))

@@ -53,8 +53,11 @@ def with_next(df: DataFrame, keys: Sequence[str], position: str, text: str, belo
 
 
 def stratified_sample(df: DataFrame, stratum: Column, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
-    """The first ``n`` rows by stratum, then order, each key once; all rows if ``n`` is 0. The limit is what the operator is for."""
-    if n == 0:
+    """The first ``n`` rows by stratum, then order, each key once; all rows as they are if ``n`` is 0 or no less than their number.
+
+    The limit is what the operator is for.
+    """
+    if n == 0 or df.limit(n + 1).count() <= n:
         return df.withColumn("stratum", stratum)
     once = first_per_key(df.withColumn("stratum", stratum), keys, [F.col("stratum"), *order])
     return once.orderBy("stratum", *order).limit(n)

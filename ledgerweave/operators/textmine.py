@@ -8,39 +8,43 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerweave.functions.coerce import money, months
-from ledgerweave.functions.spans import matches, nearest
+from ledgerweave.functions.spans import matches, nearest, places
 from ledgerweave.functions.text import person_name, strip_markup
 
 #: An amount with a dollar sign and an optional magnitude, or a number with a magnitude. Fixed value.
-MONEY = r"\$\s?[0-9][0-9,]*(?:\.[0-9]+)?(?:\s?(?:million|billion|thousand))?|\b[0-9][0-9,]*(?:\.[0-9]+)?\s?(?:million|billion|thousand)"
+MONEY = r"\$+\s*\(?\d[\d,]*(?:\.\d+)?\)?\s*(?:billion|million|thousand|bn|m|k)?|\b\d[\d,]*(?:\.\d+)?\s*(?:billion|million|thousand|bn|m|k)\b"
 #: A number of months or years. Fixed value.
-DURATION = r"\b[0-9]+(?:\.[0-9]+)?\s+(?:months?|years?)"
-#: Words that say an amount is planned, and words that say it is spent. Fixed values.
-PROJECTED = ("projected", "estimated", "estimate", "budgeted", "budget", "anticipated", "expected", "proposed", "planned", "target", "projection")
+DURATION = r"\b\d+(?:\.\d+)?\s*(?:months|month|mos|mo|years|year|yrs|yr)\b"
+#: Words that say an amount is planned, that it is spent, and that a text is about time. Fixed values.
+PROJECTED = ("projected", "estimate", "estimated", "budget", "budgeted", "anticipated", "expected", "proposed", "planned", "target", "projection")
 REALIZED = ("actual", "realized", "final", "completed", "completion", "incurred", "spent", "expenditure", "delivered")
-TIME_HINTS = ("month", "year", "schedule", "timeline", "duration", "completion", "deadline")
+TIME_HINTS = ("month", "months", "year", "years", "schedule", "timeline", "duration", "completion", "deadline")
 
 
 def mentions(df: DataFrame, keys: Sequence[str], text: str, pattern: str, kind: str) -> DataFrame:
     """``(keys, pos, kind, value_raw, value_numeric, at)``: every match of the pattern."""
     value = money if kind == "cost" else months
     rows = df.select(*keys, F.posexplode(matches(F.col(text), f"(?i){pattern}")).alias("pos", "m"))
-    return rows.select(*keys, "pos", F.lit(kind).alias("kind"), F.col("m.hit").alias("value_raw"), value(F.col("m.hit")).alias("value_numeric"), F.col("m.at").alias("at"))
+    return rows.select(*keys, "pos", F.lit(kind).alias("kind"), F.trim("m.hit").alias("value_raw"), value(F.col("m.hit")).alias("value_numeric"), F.col("m.at").alias("at"))
 
 
-def keyword_spans(text: Column, groups: Mapping[str, Sequence[str]]) -> Column:
-    """Positions of the keywords of each group (substrings), with the group as label and its place as rank."""
-    def labelled(label: str, rank: int, words: Sequence[str]) -> Column:
-        found = matches(F.lower(text), "|".join(sorted(words, key=len, reverse=True)))
-        return F.transform(found, lambda m: F.struct(m["at"].alias("at"), m["hit"].alias("hit"), F.lit(label).alias("label"), F.lit(rank).alias("rank")))
+def keyword_spans(text: Column, groups: Mapping[str, Sequence[str]], ranked: bool = True) -> Column:
+    """Places of every keyword (substrings, which may overlap) with its group as label; the rank is that of the group, else 0."""
+    low = F.lower(text)
+    found = lambda label, rank, word: F.transform(places(low, word), lambda m: F.struct(m["at"].alias("at"), m["hit"].alias("hit"), F.lit(label).alias("label"), F.lit(rank).alias("rank")))
+    return F.concat(*[found(label, rank if ranked else 0, word) for rank, (label, words) in enumerate(groups.items()) for word in words])
 
-    return F.concat(*[labelled(label, rank, words) for rank, (label, words) in enumerate(groups.items())])
 
+def nearest_label(df: DataFrame, text: str, at: str, groups: Mapping[str, Sequence[str]], name: str) -> DataFrame:
+    """The group of the keyword that begins nearest to a mention; earlier groups, then earlier keywords on ties; null without any keyword."""
+    return df.withColumn(name, nearest(keyword_spans(F.col(text), groups), F.col(at))["label"])
 
-def nearest_label(df: DataFrame, text: str, at: str, hit: str, groups: Mapping[str, Sequence[str]], name: str) -> DataFrame:
-    """The group of the keyword nearest to a mention; earlier groups, then earlier keywords on ties; null without any keyword."""
-    found = nearest(keyword_spans(F.col(text), groups), F.col(at), F.col(at) + F.length(hit))
-    return df.withColumn(name, found["label"])
+
+def nearest_word(df: DataFrame, text: str, at: str, words: Sequence[str], name: str) -> DataFrame:
+    """The keyword that begins nearest to a mention; the earlier, then the one first in the list on ties; null without any."""
+    spans = F.concat(*[F.transform(places(F.lower(text), word), lambda m: F.struct(m["at"].alias("at"), m["hit"].alias("hit"))) for word in words])
+    order = F.transform(spans, lambda s: F.struct(F.abs(s["at"] - F.col(at)).alias("d"), s["at"].alias("at"), F.array_position(F.array(*[F.lit(w) for w in words]), s["hit"]).alias("k"), s["hit"].alias("hit")))
+    return df.withColumn(name, F.array_min(order)["hit"])
 
 
 def tags(text: Column, patterns: Mapping[str, str]) -> Column:

@@ -92,7 +92,7 @@ def p5_found(read: Read) -> DataFrame:
 
 @query(
     f"""SELECT mention_id, {_num("value_raw")} AS as_float, {_int("value_raw")} AS as_int,
-  {_num("value_raw")} * CASE WHEN regexp_matches(lower(value_raw), 'years?$') THEN 12 WHEN regexp_matches(lower(value_raw), 'months?$') THEN 1 END AS as_months,
+  {_num("value_raw")} * CASE WHEN regexp_matches(lower(value_raw), '(years?|yrs?)$') THEN 12 WHEN regexp_matches(lower(value_raw), '(months?|mos?)$') THEN 1 END AS as_months,
   coalesce(try_cast(trim(value_raw) AS INTEGER), 0) AS strict_int, try_cast(replace(trim(value_raw), ',', '') AS DOUBLE) AS strict_float
 FROM tif_pdf_projected_realized_mentions"""
 )
@@ -150,23 +150,11 @@ def person_names(read: Read) -> DataFrame:
     return read(MATTERS).select("filing_sponsor", text.person_name(F.col("filing_sponsor")).alias("person")).distinct()
 
 
-@query(
-    """SELECT doc_id, sha1(text) AS text_hash, length(trim(regexp_replace(text, '[ \\t\\n\\r]+', ' ', 'g'))) AS clean_chars FROM documents WHERE text IS NOT NULL AND regexp_matches(text, '^[\\x00-\\x7F]*$')"""
-)
-def text_hash(read: Read) -> DataFrame:
-    """The texts that are ASCII, as its SQL has them; ``text_hash_all`` has every text."""
-    return _hashes(read("documents").filter(F.col("text").rlike(r"^[\x00-\x7F]*$")))
-
-
 @query("""SELECT doc_id, sha1(text) AS text_hash, length(trim(regexp_replace(text, '[ \\t\\n\\r]+', ' ', 'g'))) AS clean_chars FROM documents WHERE text IS NOT NULL""")
-def text_hash_all(read: Read) -> DataFrame:
+def text_hash(read: Read) -> DataFrame:
     """SHA-1 of the UTF-8 bytes of every text, and its length in code points with runs of white space as one space."""
-    return _hashes(read("documents").filter("text is not null"))
-
-
-def _hashes(rows: DataFrame) -> DataFrame:
     t = F.col("text")
-    return rows.select("doc_id", F.sha1(t.cast("binary")).alias("text_hash"), F.length(F.trim(F.regexp_replace(t, r"[ \t\n\r]+", " "))).cast("long").alias("clean_chars"))
+    return read("documents").filter("text is not null").select("doc_id", F.sha1(t.cast("binary")).alias("text_hash"), F.length(F.trim(F.regexp_replace(t, r"[ \t\n\r]+", " "))).cast("long").alias("clean_chars"))
 
 
 # --- projections, unions, panels ------------------------------------------------------------------------
@@ -443,16 +431,18 @@ def page_clusters(read: Read) -> DataFrame:
 
 
 @query(
-    """WITH pages AS (SELECT pdf_file, page_number, min(mention_id) AS first_mention FROM tif_pdf_projected_realized_mentions WHERE page_number IS NOT NULL AND pdf_file IS NOT NULL GROUP BY ALL),
+    """WITH pages AS (SELECT pdf_file, page_number, string_agg(DISTINCT snippet, chr(10) ORDER BY snippet) AS t FROM tif_pdf_projected_realized_mentions WHERE page_number IS NOT NULL AND pdf_file IS NOT NULL AND snippet IS NOT NULL GROUP BY ALL),
 h AS (SELECT pdf_file, page_number, greatest(page_number - 1, 1) AS s, page_number + 1 AS t FROM pages),
 b AS (SELECT *, max(t) OVER (PARTITION BY pdf_file ORDER BY page_number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM h),
 i AS (SELECT *, sum(CASE WHEN p IS NULL OR s > p + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY pdf_file ORDER BY page_number ROWS UNBOUNDED PRECEDING) AS k FROM b),
 w AS (SELECT pdf_file, min(s) AS cluster_start, max(t) AS cluster_end FROM i GROUP BY pdf_file, k)
-SELECT w.pdf_file, cluster_start, cluster_end, string_agg('mention ' || first_mention, chr(10) ORDER BY page_number) AS window_text
+SELECT w.pdf_file, cluster_start, cluster_end, string_agg(p.t, chr(10) ORDER BY page_number) AS window_text
 FROM w JOIN pages p ON w.pdf_file = p.pdf_file AND p.page_number BETWEEN cluster_start AND cluster_end GROUP BY ALL"""
 )
 def window_text(read: Read) -> DataFrame:
-    pages = read(MENTIONS).filter("page_number is not null and pdf_file is not null").groupBy("pdf_file", "page_number").agg(F.concat(F.lit("mention "), F.min("mention_id").cast("string")).alias("page_text"))
+    """Text of clusters of pages; a page's text is what the mentions show of it."""
+    rows = read(MENTIONS).filter("page_number is not null and pdf_file is not null and snippet is not null")
+    pages = rows.groupBy("pdf_file", "page_number").agg(F.array_join(F.array_sort(F.collect_set("snippet")), "\n").alias("page_text"))
     windows = rank.clusters(pages, ["pdf_file"], "page_number", pad=1).drop("hits")
     return joins.window_text(windows, pages, ["pdf_file"], "cluster_start", "cluster_end", "page_number", "page_text")
 
@@ -498,39 +488,32 @@ def longest_dictionary_hit(read: Read) -> DataFrame:
     return joins.longest_hit(containment_hits(read), "matter_row_id", "tif_number")
 
 
-_MONEY_SQL = textmine.MONEY.replace("'", "''")
+#: Amounts and durations as their specification writes them, for the SQL side.
+_MONEY_SQL = r"(?i)\$+\s*\(?\d[\d,]*(?:\.\d+)?\)?\s*(?:billion|million|thousand|bn|m|k)?|\b\d[\d,]*(?:\.\d+)?\s*(?:billion|million|thousand|bn|m|k)\b"
+_DURATION_SQL = r"(?i)\b\d+(?:\.\d+)?\s*(?:months|month|mos|mo|years|year|yrs|yr)\b"
+_BARE_SQL = "trim(regexp_replace(lower(value_raw), '[$,()]', '', 'g'))"
 
 
 @query(
-    f"""WITH h AS (SELECT matter_row_id, unnest(regexp_extract_all(matter_title, '(?i){_MONEY_SQL}')) AS value_raw, generate_subscripts(regexp_extract_all(matter_title, '(?i){_MONEY_SQL}'), 1) - 1 AS pos FROM tif_elms_matters)
-SELECT matter_row_id, CAST(pos AS INTEGER) AS pos, value_raw, {_num("value_raw")} * CASE WHEN regexp_matches(lower(value_raw), 'million') THEN 1e6 WHEN regexp_matches(lower(value_raw), 'billion') THEN 1e9 WHEN regexp_matches(lower(value_raw), 'thousand') THEN 1e3 ELSE 1 END AS value_numeric
+    f"""WITH h AS (SELECT matter_row_id, unnest(regexp_extract_all(matter_title, '{_MONEY_SQL}')) AS value_raw, generate_subscripts(regexp_extract_all(matter_title, '{_MONEY_SQL}'), 1) - 1 AS pos FROM tif_elms_matters)
+SELECT matter_row_id, CAST(pos AS INTEGER) AS pos, trim(value_raw) AS value_raw, {_num(_BARE_SQL)} * CASE WHEN contains({_BARE_SQL}, 'billion') OR regexp_matches({_BARE_SQL}, '\\bbn\\b') THEN 1e9
+  WHEN contains({_BARE_SQL}, 'million') OR regexp_matches({_BARE_SQL}, '\\bm\\b') THEN 1e6 WHEN contains({_BARE_SQL}, 'thousand') OR regexp_matches({_BARE_SQL}, '\\bk\\b') THEN 1e3 ELSE 1 END AS value_numeric
 FROM h"""
 )
 def money_mentions(read: Read) -> DataFrame:
     return textmine.mentions(read(MATTERS), ["matter_row_id"], "matter_title", textmine.MONEY, "cost").select("matter_row_id", "pos", "value_raw", "value_numeric")
 
 
-_DURATION_SQL = textmine.DURATION
-
-
 @query(
-    f"""WITH h AS (SELECT mention_id, unnest(regexp_extract_all(snippet, '(?i){_DURATION_SQL}')) AS value_raw, generate_subscripts(regexp_extract_all(snippet, '(?i){_DURATION_SQL}'), 1) - 1 AS pos
-  FROM tif_pdf_projected_realized_mentions WHERE regexp_matches(lower(snippet), '{"|".join(textmine.TIME_HINTS)}'))
-SELECT mention_id, CAST(pos AS INTEGER) AS pos, value_raw, {_num("value_raw")} * CASE WHEN regexp_matches(lower(value_raw), 'year') THEN 12 ELSE 1 END AS value_numeric FROM h"""
+    f"""WITH h AS (SELECT mention_id, unnest(regexp_extract_all(snippet, '{_DURATION_SQL}')) AS value_raw, generate_subscripts(regexp_extract_all(snippet, '{_DURATION_SQL}'), 1) - 1 AS pos
+  FROM tif_pdf_projected_realized_mentions WHERE regexp_matches(lower(snippet), 'month|year|schedule|timeline|duration|completion|deadline'))
+SELECT mention_id, CAST(pos AS INTEGER) AS pos, value_raw, {_num("value_raw")} * CASE WHEN regexp_matches(lower(value_raw), 'ye?a?rs?$') THEN 12 ELSE 1 END AS value_numeric FROM h"""
 )
 def duration_mentions(read: Read) -> DataFrame:
     rows = read(MENTIONS).filter(F.lower("snippet").rlike("|".join(textmine.TIME_HINTS)))
     return textmine.mentions(rows, ["mention_id"], "snippet", textmine.DURATION, "time").select("mention_id", "pos", "value_raw", "value_numeric")
 
 
-@query()
-def nearest_keyword(read: Read) -> DataFrame:
-    """Status of every amount by the nearest keyword; offsets have no short SQL form, so this one is tested against plain Python."""
-    rows = read(MENTIONS).select("mention_id", "snippet")
-    found = textmine.mentions(rows, ["mention_id", "snippet"], "snippet", textmine.MONEY, "cost")
-    return textmine.nearest_label(found, "snippet", "at", "value_raw", {"projected": textmine.PROJECTED, "realized": textmine.REALIZED}, "label").select("mention_id", "pos", "value_raw", "label")
-
-
 TAGS = {"tif": r"(?i)tax increment", "agreement": r"(?i)agreement", "sale": r"(?i)negotiated sale", "notes": r"(?i)allocation notes", "zoning": r"(?i)zoning", "designation": r"(?i)^designation"}
 
 
@@ -554,7 +537,7 @@ def exploded_terms(read: Read) -> DataFrame:
 
 
 @query(
-    """WITH m AS (SELECT DISTINCT matter_title AS t FROM tif_elms_matters WHERE regexp_matches(matter_title, '^[\\x00-\\x7F]*$')),
+    """WITH m AS (SELECT DISTINCT matter_title AS t FROM tif_elms_matters WHERE matter_title IS NOT NULL),
 a AS (SELECT t, CASE WHEN regexp_matches(t, '(?i)not to exceed') THEN 3 WHEN regexp_matches(t, '(?i)agreement') THEN 2 WHEN regexp_matches(t, '\\$') THEN 1 END AS w,
   CASE WHEN regexp_matches(t, '(?i)not to exceed') THEN strpos(lower(t), 'not to exceed') WHEN regexp_matches(t, '(?i)agreement') THEN strpos(lower(t), 'agreement') ELSE strpos(t, '$') END AS pos FROM m)
 SELECT t AS title, CASE WHEN w IS NOT NULL THEN substr(t, greatest(pos - 20, 1), 40) END AS snippet FROM a"""
@@ -613,7 +596,7 @@ def html_links(read: Read) -> DataFrame:
     return first.select("link", "report_year", url.tail(F.col("link")).alias("file_name"), url.is_pdf(F.lit(""), F.col("link")).alias("is_pdf"))
 
 
-@query("""SELECT override_id, trim(trim(regexp_replace(canonical_project_name, '\\s+', ' ', 'g')) || ' & ' || coalesce(active, '')) AS plain FROM project_name_overrides WHERE NOT regexp_matches(canonical_project_name, '[<>{}\\[\\]|'']|&[a-z]')""")
+@query("""SELECT override_id, trim(trim(regexp_replace(canonical_project_name, '\\s+', ' ', 'g')) || ' & ' || coalesce(active, '')) AS plain FROM project_name_overrides WHERE canonical_project_name IS NOT NULL""")
 def strip_markup(read: Read) -> DataFrame:
     """Names are marked up and read again; what is markup in a name itself is escaped, and a name with brackets is in no link."""
     rows = read(OVERRIDES).filter("canonical_project_name is not null")
@@ -685,7 +668,7 @@ def fuzzy_best(read: Read) -> DataFrame:
     t = ids.canonical_district(F.col("tif_number")).alias("t")
     left = read(ANNUAL).select(t, text.norm_text(F.col("project_name")).alias("a")).filter("a <> '' and t <> ''").distinct().withColumn("id", F.concat_ws("|", "t", "a"))
     right = read(LEGACY).select(t, text.norm_text(F.col("project_name")).alias("b")).filter("b <> '' and t <> ''").distinct().withColumn("rid", F.col("b"))
-    return match.best_fuzzy(left, right, ["t"], "id", "a", "b", "rid", 0.82)
+    return match.best_fuzzy(left, right, ["t"], "id", [("a", "b")], "rid", 0.82)
 
 
 @query(
@@ -717,19 +700,6 @@ def greedy_pairs(read: Read) -> DataFrame:
     return joins.greedy_pairs(read(MENTIONS).filter("pdf_file is not null and metric_type is not null"), ["pdf_file", "metric_type"], "status", "projected", "realized", "page_number", "snippet", "mention_id")
 
 
-@query(
-    """WITH a AS (SELECT tif_number, project_number, count(*) AS n FROM tif_annual_report_projects WHERE report_year = 2015 AND tif_number IS NOT NULL AND project_number IS NOT NULL GROUP BY ALL),
-b AS (SELECT tif_number, project_number, count(*) AS n FROM tif_legacy_annual_report_projects_2010_2016 WHERE report_year = 2015 AND tif_number IS NOT NULL AND project_number IS NOT NULL GROUP BY ALL)
-SELECT coalesce(a.tif_number, b.tif_number) AS tif_number, coalesce(a.project_number, b.project_number) AS project_number, a.n AS left_value, b.n AS right_value,
-  CASE WHEN a.n IS NULL THEN 'right_only' WHEN b.n IS NULL THEN 'left_only' WHEN a.n = b.n THEN 'same' ELSE 'differs' END AS verdict
-FROM a FULL JOIN b ON a.tif_number = b.tif_number AND a.project_number = b.project_number"""
-)
-def full_outer_compare(read: Read) -> DataFrame:
-    """The reports of 2015, as its SQL has them; ``full_outer_compare_all`` has every year."""
-    of = lambda t: read(t).filter("report_year = 2015 and tif_number is not null and project_number is not null").groupBy("tif_number", "project_number").agg(F.count(F.lit(1)).alias("n"))
-    return joins.compare_outer(of(ANNUAL), of(LEGACY), ["tif_number", "project_number"], "n")
-
-
 _POSITIONS = f"SELECT nullif({_tif('tif_number')}, '') AS tif_key, report_year, project_number, count(*) AS n FROM"
 
 
@@ -739,7 +709,7 @@ SELECT coalesce(a.tif_key, b.tif_key) AS tif_key, coalesce(a.report_year, b.repo
   CASE WHEN a.n IS NULL THEN 'right_only' WHEN b.n IS NULL THEN 'left_only' WHEN a.n = b.n THEN 'same' ELSE 'differs' END AS verdict
 FROM a FULL JOIN b ON a.tif_key = b.tif_key AND a.report_year = b.report_year AND a.project_number = b.project_number"""
 )
-def full_outer_compare_all(read: Read) -> DataFrame:
+def full_outer_compare(read: Read) -> DataFrame:
     """Both whole tables, the year in the key; rows that lack a part of the key meet nothing and are on their side only."""
     keys = ["tif_key", "report_year", "project_number"]
     key = F.nullif(ids.canonical_district(F.col("tif_number")), F.lit(""))
@@ -793,12 +763,12 @@ def inventory_upsert(read: Read) -> DataFrame:
 
 @query(
     """WITH r AS (SELECT district_candidate_id, district_match_status AS review_status, matched_tif_number AS answer FROM tif_district_legislation_candidates WHERE district_match_status IS NOT NULL),
-d AS (SELECT * FROM r WHERE trim(review_status) <> '' AND review_status <> 'unmatched'), g AS (SELECT district_candidate_id, 'needs_review' AS review_status, district_name_raw AS answer FROM tif_district_legislation_candidates WHERE meeting_year >= '1990')
+d AS (SELECT * FROM r WHERE trim(review_status) <> '' AND review_status <> 'unmatched'), g AS (SELECT district_candidate_id, 'needs_review' AS review_status, district_name_raw AS answer FROM tif_district_legislation_candidates)
 SELECT * FROM d UNION ALL SELECT * FROM g WHERE district_candidate_id NOT IN (SELECT district_candidate_id FROM d)"""
 )
 def review_merge(read: Read) -> DataFrame:
     reviewed = read(CANDIDATES).filter("district_match_status is not null").select("district_candidate_id", F.col("district_match_status").alias("review_status"), F.col("matched_tif_number").alias("answer"))
-    generated = read(CANDIDATES).filter("meeting_year >= '1990'").select("district_candidate_id", F.lit("needs_review").alias("review_status"), F.col("district_name_raw").alias("answer"))
+    generated = read(CANDIDATES).select("district_candidate_id", F.lit("needs_review").alias("review_status"), F.col("district_name_raw").alias("answer"))
     return state.keep_reviewed(generated, reviewed, "district_candidate_id", "review_status", open_status="unmatched")
 
 

@@ -28,11 +28,14 @@ def local_session(cores: int = 8, name: str = "ledgerweave", **conf: str) -> Spa
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the folder that the cluster shares (``spark.checkpoint.dir``).
 
-    Only where that setting is absent (tests on one machine) a local temporary folder is set.
+    Only where that setting is absent and the session is local (tests on one machine) a temporary folder is set; on a
+    cluster its absence is an error.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="ledgerweave-checkpoint-"))
 
 

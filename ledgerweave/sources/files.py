@@ -83,7 +83,7 @@ def valid_pdf(content: Column, least: int = 500) -> Column:
 
 def page_text(spark: SparkSession, folder: str) -> DataFrame:
     """``(path, page, text)`` of sidecar files ``.../<page>.txt``; the extraction itself needs tools that are not part of Spark."""
-    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(folder).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+    rows = spark.read.text(folder, wholetext=True, recursiveFileLookup=True).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
     return rows.withColumn("page", F.regexp_extract("path", r"(\d+)\.txt$", 1).try_cast("int"))
 
 

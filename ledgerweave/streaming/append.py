@@ -22,16 +22,23 @@ def _stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     return spark.read.schema(like.schema).parquet(path) if there else spark.createDataFrame([], like.schema)
 
 
+#: Parts, by hash of the key, that the stored table is divided into; a batch reads the parts of its keys only.
+PARTS = 64
+
+
 def append_unique_stream(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[Column]) -> StreamingQuery:
     """Run what there is (``availableNow``), one keyed append per batch.
 
-    Each batch is written to its own folder ``batch=<id>``, replaced if the batch runs again after a failure.
+    Each batch is written to its own folder ``batch=<id>``, replaced if the batch runs again after a failure, and within it by parts of the key's hash.
     """
+    part = F.pmod(F.xxhash64(*[F.trim(F.coalesce(F.col(k).cast("string"), F.lit(""))) for k in keys]), F.lit(PARTS)).cast("int")
 
     def append(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        stored = _stored(spark, path, batch.withColumn("batch", F.lit(0))).filter(F.col("batch") != number).drop("batch")
-        new_rows(stored, batch, keys, order).write.mode("overwrite").parquet(os.path.join(path, f"batch={number}"))
+        rows = batch.withColumn("part", part)
+        met = [r[0] for r in rows.select("part").distinct().collect()]  # at most PARTS numbers
+        stored = _stored(spark, path, rows.withColumn("batch", F.lit(0))).filter((F.col("batch") != number) & F.col("part").isin(met)).drop("batch")
+        new_rows(stored, rows, keys, order).write.mode("overwrite").partitionBy("part").parquet(os.path.join(path, f"batch={number}"))
 
     return stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -26,6 +26,9 @@ def test_coercions(spark):
 
 
 def test_money_and_months(spark):
+    # a magnitude of one letter must stand alone; brackets and signs do not count
+    assert [r[0] for r in values(spark, ["$5m", "$5 m", "$(1,200) k", "$5 bn", "2k", "$$7"], coerce.money(X))] == [5.0, 5e6, 1.2e6, 5e9, 2.0, 7.0]
+    assert [r[0] for r in values(spark, ["3 yrs", "1 yr", "6 mo", "9 mos"], coerce.months(X))] == [36.0, 12.0, 6.0, 9.0]
     assert [r[0] for r in values(spark, ["$5 million", "$1,200", "3 thousand", "none"], coerce.money(X))] == [5e6, 1200.0, 3000.0, None]
     assert [r[0] for r in values(spark, ["18 months", "2 years", "7 days"], coerce.months(X))] == [18.0, 24.0, None]
     assert [r[0] for r in values(spark, ["2010-05-01", "x", None], coerce.date_key(X))] == [20100501, 0, 0]

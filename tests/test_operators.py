@@ -113,7 +113,7 @@ def test_vote_and_roll_up(spark):
 def test_mentions_and_nearest_keyword(spark):
     df = spark.createDataFrame([(1, "Estimated $5 million in all, so they say; the actual spending reached $300,000."), (2, "No amount"), (3, None), (4, "$7 alone")], "id int, t string")
     found = textmine.mentions(df, ["id", "t"], "t", textmine.MONEY, "cost")
-    labelled = textmine.nearest_label(found, "t", "at", "value_raw", {"projected": textmine.PROJECTED, "realized": textmine.REALIZED}, "label")
+    labelled = textmine.nearest_label(found, "t", "at", {"projected": textmine.PROJECTED, "realized": textmine.REALIZED}, "label")
     assert rows(labelled.select("id", "value_numeric", "label")) == [(1, 300000.0, "realized"), (1, 5e6, "projected"), (4, 7.0, None)]
 
 
@@ -129,8 +129,8 @@ def test_fuzzy_pruning_changes_nothing(spark):
     words = ["industrial park", "industrial pk", "senior homes", "sr homes", "parking structure", "x"]
     left = spark.createDataFrame([(w, "b", w) for w in words], "id string, block string, a string")
     right = spark.createDataFrame([(w[::-1] if i % 2 else w, "b", w) for i, w in enumerate(words)], "rid string, block string, b string")
-    pruned = match.best_fuzzy(left, right, ["block"], "id", "a", "b", "rid", 0.82)
-    full = match.best_fuzzy(left, right, ["block"], "id", "a", "b", "rid", 0.82, suggest=True).filter("accepted")
+    pruned = match.best_fuzzy(left, right, ["block"], "id", [("a", "b")], "rid", 0.82)
+    full = match.best_fuzzy(left, right, ["block"], "id", [("a", "b")], "rid", 0.82, suggest=True).filter("accepted")
     assert rows(pruned) == rows(full)
 
 
@@ -154,10 +154,3 @@ def test_roster_carries_the_ward(spark):
 def test_anchor_blocks_stop(spark):
     df = spark.createDataFrame([("d", i, s) for i, s in enumerate(["x", "A one", "two", "three", "four", "A five", "stop", "six"])], "k string, pos int, line string")
     assert rows(textmine.anchor_blocks(df, ["k"], "pos", "line", "^A", "^stop", 3)) == [("d", 1, "A one two three"), ("d", 2, "A five")]
-
-
-def test_suggestions_need_a_common_word(spark):
-    left = spark.createDataFrame([("a", "garden lofts", "T-1"), ("b", "nothing like it", "T-1")], "id string, name string, place string")
-    right = spark.createDataFrame([(1, "garden loft", "T-1"), (2, "garden lofts east wing", "T-2")], "rid int, name string, place string")
-    got = rows(match.suggestions(left, right, "id", "name", "place", "rid", 0.72, 0.9))
-    assert [(r[0], r[1], r[3]) for r in got] == [("a", 1, "strong_suggestion")]

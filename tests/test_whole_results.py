@@ -21,7 +21,7 @@ def run(spark, tmp_path):
 
 def test_every_text_is_hashed(run):
     texts = ["plain  text", "café – “x”", "Да \t\n漢字", "a  b", "\U0001f600", "", None]
-    got = {r.doc_id: (r.text_hash, r.clean_chars) for r in run("text_hash_all", documents=(list(enumerate(texts)), "doc_id long, text string"))}
+    got = {r.doc_id: (r.text_hash, r.clean_chars) for r in run("text_hash", documents=(list(enumerate(texts)), "doc_id long, text string"))}
     chars = [10, 10, 5, 4, 1, 0]  # only space, tab and line ends are run together
     assert got == {i: (hashlib.sha1(t.encode()).hexdigest(), n) for i, (t, n) in enumerate(zip(texts[:-1], chars, strict=True))}
 
@@ -41,7 +41,7 @@ def test_comparison_is_over_all_years_and_rows(run):
     schema = "tif_number string, report_year int, project_number string"
     annual = [("T-1", 2014, "1"), ("T-001", 2014, "1"), ("T-001", 2015, "1"), ("T_002", 2016, "3"), (None, 2016, "1"), ("T-001", 2016, None)]
     legacy = [("T-001", 2014, "1"), ("T-001", 2013, "1"), ("T-002", 2016, "3"), ("T-001", 2016, None)]
-    got = run("full_outer_compare_all", tif_annual_report_projects=(annual, schema), tif_legacy_annual_report_projects_2010_2016=(legacy, schema))
+    got = run("full_outer_compare", tif_annual_report_projects=(annual, schema), tif_legacy_annual_report_projects_2010_2016=(legacy, schema))
     want = [
         ("T-001", 2014, "1", 2, 1, "differs"), ("T-001", 2015, "1", 1, None, "left_only"), ("T-001", 2013, "1", None, 1, "right_only"), ("T-002", 2016, "3", 1, 1, "same"),
         (None, 2016, "1", 1, None, "left_only"), ("T-001", 2016, None, 1, None, "left_only"), ("T-001", 2016, None, None, 1, "right_only"),
