@@ -4,7 +4,7 @@ Every name becomes a set of tokens: letter pairs of its place words, whole stree
 its kind words, or only the district number where one is written. Tokens are ordered by global rarity;
 two sets that reach the Jaccard threshold share a token of their rarest prefixes, so only prefixes are
 joined. Length and position filters come with the join, then Jaccard is computed exactly, an exact check of the words follows, and
-the best entry is kept.
+the entry of the greatest Jaccard is kept.
 
 Defined cases: null and blank names are not mapped by ``map_names`` (``mapped`` reports them as
 ``unmatched``); a name that denotes no listed entry has the empty number; equal best entries of different
@@ -104,31 +104,54 @@ def _own_words(stems: DataFrame, listed: DataFrame) -> DataFrame:
     return splits(stems).join(heads, "head", "left_semi").join(tails, "tail", "left_semi").select("word").distinct()
 
 
+#: Distinct tokens up to this number are ranked in one dictionary that all tasks have; more are ranked by a join.
+RANKED = 1_000_000
+#: Prefix rows of the right side up to this number are sent to all tasks; more are joined by a shuffle.
+SENT = 1_000_000
+
+
+def _ranked(sides: DataFrame) -> DataFrame:
+    """``(side, id, set)``: each set as an array in the global order of its tokens, rarest first; whole numbers stand for the tokens where they can be ranked at once."""
+    exploded = sides.select("side", "id", F.explode("tokens").alias("token"))
+    frequency = cut(exploded.groupBy("token").agg(F.count(F.lit(1)).alias("f")))
+    if frequency.count() > RANKED:
+        both = exploded.join(frequency, "token").groupBy("side", "id").agg(F.array_sort(F.collect_set(F.struct("f", "token"))).alias("x"))
+        return both.select("side", "id", F.transform("x", lambda x: x["token"]).alias("set"))
+    order = [r.token for r in frequency.orderBy("f", "token").collect()]
+    ranks = sides.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(order)})
+
+    @F.pandas_udf("array<int>")
+    def as_set(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([sorted({ranks.value[t] for t in tokens}) for tokens in batch], dtype=object)
+
+    return sides.select("side", "id", as_set("tokens").alias("set"))
+
+
 def similarity_join(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(lid, rid, jaccard)`` of sets with at least that Jaccard; inputs ``(lid, tokens)`` and ``(rid, tokens)``.
 
-    The token order is by frequency over both sides, rarest first, then by the token.
+    The token order is by frequency over both sides, rarest first, then by the token. Prefix tokens are joined; sizes and positions leave out
+    pairs before Jaccard is computed, and what is below the threshold never leaves the join's task.
     """
     sides = left.select(F.col("lid").alias("id"), F.lit(0).alias("side"), "tokens").unionByName(right.select(F.col("rid").alias("id"), F.lit(1).alias("side"), "tokens"))
-    exploded = sides.filter("size(tokens) > 0").select("id", "side", F.explode("tokens").alias("token"))
-    frequency = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("f"))
-    ordered = exploded.join(frequency, "token").groupBy("side", "id").agg(F.transform(F.array_sort(F.collect_list(F.struct("f", "token"))), lambda x: x["token"]).alias("set"))
+    ordered = cut(_ranked(sides.filter("size(tokens) > 0")))
     n = F.size("set")
     prefix = ordered.select("side", "id", "set", F.posexplode(F.slice("set", F.lit(1), n - F.ceil(n * threshold - SLACK).cast("int") + 1)).alias("at", "token"))
     a = prefix.filter("side = 0").select(F.col("id").alias("lid"), F.col("set").alias("ls"), F.col("at").alias("la"), "token")
-    b = prefix.filter("side = 1").select(F.col("id").alias("rid"), F.col("set").alias("rs"), F.col("at").alias("ra"), "token")
+    b = cut(prefix.filter("side = 1").select(F.col("id").alias("rid"), F.col("set").alias("rs"), F.col("at").alias("ra"), "token"))
     la, lb = F.size("ls"), F.size("rs")
     # at the first shared token, what is left of the shorter set bounds the overlap
     most = F.least(la - F.col("la"), lb - F.col("ra"))
-    pairs = (
-        a.join(b, "token")
+    both = F.size(F.array_intersect("ls", "rs"))
+    return (
+        a.join(F.broadcast(b) if b.count() <= SENT else b, "token")
         .filter((la >= threshold * lb - SLACK) & (lb >= threshold * la - SLACK))
         .filter(most + F.least("la", "ra") >= threshold / (1 + threshold) * (la + lb) - SLACK)
-        .select("lid", "rid", "ls", "rs")
-        .dropDuplicates(["lid", "rid"])
+        .select("lid", "rid", (both / (la + lb - both)).alias("jaccard"))
+        .filter(F.col("jaccard") >= threshold - SLACK)
+        .distinct()
     )
-    both = F.size(F.array_intersect("ls", "rs"))
-    return pairs.select("lid", "rid", (both / (la + lb - both)).alias("jaccard")).filter(F.col("jaccard") >= threshold - SLACK)
 
 
 def listed_names(universe: DataFrame) -> DataFrame:
@@ -141,7 +164,7 @@ def listed_names(universe: DataFrame) -> DataFrame:
 def map_names(names: DataFrame, universe: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(name, tif_number, jaccard, edits)`` for each distinct non-blank ``name`` that denotes a listed entry."""
     raw = cut(_named(spread(names.filter(F.col("name").rlike(r"\S")).select("name").distinct()), "name")).withColumnRenamed("name", "lid")  # parsed once, used five times
-    listed = _named(listed_names(universe), "name").withColumn("rid", F.concat_ws("\u0001", "tif_number", "name"))
+    listed = cut(_named(listed_names(universe), "name")).withColumn("rid", F.concat_ws("\u0001", "tif_number", "name"))
     pairs = similarity_join(raw, listed, threshold)
     words = lambda d: d.select(F.explode("stems").alias("word")).filter(~F.col("word").rlike(r"^\d+$")).distinct()
     own = _own_words(words(raw), words(listed))
@@ -153,7 +176,8 @@ def map_names(names: DataFrame, universe: DataFrame, threshold: float = THRESHOL
         .withColumn("edits", F.when(F.col("lt")[0].startswith("#"), F.when(F.col("lt")[0] == F.col("rt")[0], 0)).when(F.col("lk") == F.col("rk"), _edits("ls", "own", "rs")))
         .filter("edits is not null")
     )
-    best = Window.partitionBy("lid").orderBy("edits", F.desc("jaccard"), "tif_number")
+    # the most similar entry, edits only break ties
+    best = Window.partitionBy("lid").orderBy(F.desc("jaccard"), "edits", "tif_number")
     return checked.withColumn("_r", F.row_number().over(best)).filter("_r = 1").select(F.col("lid").alias("name"), "tif_number", "jaccard", "edits")
 
 

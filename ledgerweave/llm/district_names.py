@@ -39,7 +39,7 @@ KIND_WORDS = {
 STREET_WORDS = {"avenue", "street", "boulevard", "road", "place", "parkway"}
 #: Phrases around a name that do not belong to it.
 FRAME = re.compile(
-    r"\b(?:tax increment (?:financing|redevelopment)|redevelopment project area|project area|redevelopment plan|t\.? ?i\.? ?f\.?(?= |$|\))|rpa|city of lakemere|district|proposed|the|said|area|redevelopment)\b"
+    r"\b(?:tax increment (?:financing|redevelopment)|redevelopment project area|project area|redevelopment plan|t\.? ?i\.? ?f\.?(?= |$|\))|rpa|city of \w+|district|proposed|the|said|area|redevelopment)\b"
 )
 _NUMBER = re.compile(r"\bt(?:if)?\s*(?:[-_ ]|no\.?|number|#)*\s*(?:t[-_ ]*)?(\d{1,3})\b")
 _ONES = "zeroth first second third fourth fifth sixth seventh eighth ninth tenth eleventh twelfth thirteenth fourteenth fifteenth sixteenth seventeenth eighteenth nineteenth".split()
@@ -169,4 +169,4 @@ def words_of(name: str | None) -> tuple[str | None, list[str], list[str]]:
     return number, sorted(set(stems)), sorted(set(kinds))
 
 
-_FRAME_WORDS = {"tif", "rpa", "tax", "increment", "financing", "redevelopment", "district", "project", "area", "city", "of", "lakemere", "proposed", "the", "said"}
+_FRAME_WORDS = {"tif", "rpa", "tax", "increment", "financing", "redevelopment", "district", "project", "area", "city", "proposed", "the", "said"}

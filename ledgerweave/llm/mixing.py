@@ -16,15 +16,19 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerweave.llm.tokens import RANK_FILE, count_of
+from ledgerweave.operators.joins import salted_join
 from ledgerweave.session import cut
 
-#: The rest of a budget that the knapsack is left with, in multiples of the longest document.
-REST = 4
+#: The rest of a budget that the knapsack is left with, in multiples of the longest document: more where less does not meet the budget.
+REST = (4, 64, 1024, 1 << 40)
+#: Most sums that the knapsack keeps; rests up to this are fitted exactly.
+SUMS = 1 << 24
 #: A (source, length) group is cut by hash into so many parts, of which at most one is ranked.
 PARTS = 4096
 
@@ -32,7 +36,8 @@ PARTS = 4096
 def fit(lengths: list[int], counts: list[int], budget: int, max_repeats: int) -> tuple[int, list[int]]:
     """Whole repeats of everything, and for each length how many documents are used once more.
 
-    The total is the budget if a sum of lengths can meet it, else the closest sum below that the fit finds.
+    The total is the budget if a sum of lengths can meet it, else the closest sum below that the fit finds; what is left after whole repeats
+    is fitted exactly up to ``SUMS`` tokens.
     """
     total = sum(n * c for n, c in zip(lengths, counts, strict=True))
     if total == 0 or budget <= 0 or max_repeats <= 0:
@@ -42,33 +47,50 @@ def fit(lengths: list[int], counts: list[int], budget: int, max_repeats: int) ->
         return max_repeats, [0] * len(lengths)
     rest = budget - whole * total
     longest = max(lengths)
-    spared = min(rest, REST * longest)
+    for share in REST:
+        spared = min(rest, max(share * longest, 0), SUMS)
+        extra, gap = _fitted(lengths, counts, rest, total, spared)
+        if gap == 0 or spared in (rest, SUMS):
+            break
+    return whole, extra
+
+
+def _fitted(lengths: list[int], counts: list[int], rest: int, total: int, spared: int) -> tuple[list[int], int]:
+    """Documents of each length whose sum is ``rest`` or the greatest below it that is found, and what it lacks.
+
+    All but ``spared`` is taken as the same fraction of every length; the knapsack over the counts that are left has the remainder, and is exact for it.
+    """
     extra = [c * (rest - spared) // total for c in counts]
     rest -= sum(n * k for n, k in zip(lengths, extra, strict=True))
     # what rounding down left over: longest documents first, until the knapsack's part is small
-    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+    order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
+    for i in order:
         if rest <= spared:
             break
         k = min(counts[i] - extra[i], (rest - spared) // lengths[i])
         extra[i] += k
         rest -= k * lengths[i]
-    # bounded knapsack: reach[j] has the sums that the first j packs can make; packs are powers of two of one length
-    packs, reach, full = [], [1], (1 << (rest + 1)) - 1
-    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+    # bounded knapsack: of each sum the first pack that made it; packs are powers of two of one length
+    reached, first, packs = np.zeros(rest + 1, dtype=bool), np.full(rest + 1, -1, dtype=np.int32), []
+    reached[0] = True
+    for i in order:
         left, k = min(counts[i] - extra[i], rest // lengths[i]), 1
-        while left > 0 and not reach[-1] >> rest & 1:
+        while left > 0 and not reached[rest]:
             k = min(k, left)
+            w = k * lengths[i]
+            new = np.flatnonzero(reached[: rest + 1 - w] & ~reached[w:]) + w
+            first[new] = len(packs)
+            reached[new] = True
             packs.append((i, k))
-            reach.append((reach[-1] | reach[-1] << (k * lengths[i])) & full)
             left -= k
             k *= 2
-    at = reach[-1].bit_length() - 1
-    for j in range(len(packs) - 1, -1, -1):
-        if not reach[j] >> at & 1:
-            i, k = packs[j]
-            extra[i] += k
-            at -= k * lengths[i]
-    return whole, extra
+    at = int(np.flatnonzero(reached)[-1])
+    gap = rest - at
+    while at:
+        i, k = packs[first[at]]
+        extra[i] += k
+        at -= k * lengths[i]
+    return extra, gap
 
 
 def _plan(histogram: pd.DataFrame) -> pd.DataFrame:
@@ -98,7 +120,7 @@ def choose(rows: DataFrame, targets: DataFrame, seed: int = 17) -> DataFrame:
     # the seeded order of a length is by hash, then key; its parts are counted first, so that only the
     # part in which the count is reached is ranked
     keyed = usable.withColumn("_h", F.xxhash64(F.lit(seed), "key")).withColumn("_part", F.pmod("_h", F.lit(PARTS)))
-    keyed = keyed.join(plan, ["source", "n"])
+    keyed = salted_join(keyed, cut(plan), ["source", "n"])  # a common length is no single task
     before = F.sum("_c").over(Window.partitionBy("source", "n").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     parts = keyed.filter("extra > 0").groupBy("source", "n", "_part").agg(F.count(F.lit(1)).alias("_c")).withColumn("_before", F.coalesce(before, F.lit(0)))
     keyed = keyed.join(parts, ["source", "n", "_part"], "left").withColumn(

@@ -30,8 +30,8 @@ from ledgerweave.session import cut
 
 #: Letters of other scripts and the Latin letters they are drawn like. Fixed values.
 LOOK_ALIKE = {
-    "Cyrillic": ("АВЕКМНОРСТХЅІЈԚԜаеорсухѕіјһԁԛԝӏ", "ABEKMHOPCTXSIJQWaeopcyxsijhdqwl"),
-    "Greek": ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧο", "ABEZHIKMNOPTYXo"),
+    "Cyrillic": ("АВЕКМНОРСТХЅІЈԚԜѴԌҮаеорсухѕіјһԁԛԝӏѵ", "ABEKMHOPCTXSIJQWVGYaeopcyxsijhdqwlv"),
+    "Greek": ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿοϲϳ", "ABEZHIKMNOPTYXCJocj"),
     "Armenian": ("օ", "o"),
     "Latin": ("ɡ", "g"),
     "hyphens": ("\u2010\u2011", "--"),
@@ -170,8 +170,11 @@ def same_look_pairs(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     rows = digest.select("_k", F.col("_d.look").alias("_look"), F.col("_d.raw").alias("_raw")).filter("_k is not null and _look is not null").distinct()
     rows = cut(rows)  # two digests a row; the texts are read and rewritten once
     mixed = rows.groupBy("_look").agg(F.min("_raw").alias("_lo"), F.max("_raw").alias("_hi")).filter("_lo <> _hi").select("_look")
-    kept = rows.join(mixed, "_look", "left_semi")
-    a = kept.select("_look", F.col("_k").alias("_ka"), F.col("_raw").alias("_ra"))
-    b = kept.select("_look", F.col("_k").alias("_kb"), F.col("_raw").alias("_rb"))
-    pairs = a.join(b, "_look").filter("_ra <> _rb and _ka < _kb")
-    return pairs.select(F.col("_ka").alias(f"{key}_a"), F.col("_kb").alias(f"{key}_b")).distinct()
+    kept = cut(rows.join(mixed, "_look", "left_semi"))
+    # different texts of one look are paired first, whatever their copies; then each pair goes to its rows
+    texts = kept.select("_look", "_raw").distinct()
+    both = texts.select("_look", F.col("_raw").alias("_ra")).join(texts.select("_look", F.col("_raw").alias("_rb")), "_look").filter("_ra < _rb").select("_ra", "_rb")
+    a = kept.select(F.col("_raw").alias("_ra"), F.col("_k").alias("_ka"))
+    b = kept.select(F.col("_raw").alias("_rb"), F.col("_k").alias("_kb"))
+    pairs = both.join(a, "_ra").join(b, "_rb").filter("_ka <> _kb")
+    return pairs.select(F.least("_ka", "_kb").alias(f"{key}_a"), F.greatest("_ka", "_kb").alias(f"{key}_b")).distinct()
