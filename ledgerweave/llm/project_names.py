@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from itertools import product
 from typing import NamedTuple
 
 from ledgerweave.llm.district_names import near
@@ -97,6 +98,24 @@ _ALIASES = [(alias, word) for word, aliases in TYPE_WORDS.items() for alias in (
 _EXACT = dict(_ALIASES)
 
 
+def _letters(word: str) -> int:
+    out = 0
+    for c in word:
+        out |= 1 << (ord(c) & 31)
+    return out
+
+
+class Near:
+    """Listed words that can be within two edits of a word: an edit changes at most two of the letters that occur, and one of the length."""
+
+    def __init__(self, words: list[str]) -> None:
+        self.words = [(w, len(w), _letters(w)) for w in words]
+
+    def __call__(self, word: str) -> list[str]:
+        n, letters = len(word), _letters(word)
+        return [w for w, m, x in self.words if -2 <= n - m <= 2 and (letters ^ x).bit_count() <= 4]
+
+
 class Parts(NamedTuple):
     """``block``: what must be equal (type words, phase, side, numbers). ``words``: the name proper, in the order typed."""
 
@@ -105,12 +124,20 @@ class Parts(NamedTuple):
     initials: tuple[str, ...]
 
 
+_LONG_ALIASES, _LONG_FILLERS, _LONG_NICKNAMES = Near([a for a, _ in _ALIASES if len(a) >= 5]), Near([f for f in FILLERS if len(f) >= 7]), Near([n for n in NICKNAMES if len(n) >= 5])
+
+
+@lru_cache(maxsize=200_000)
+def _is_fund(word: str) -> bool:
+    return any(near(word, f) <= 1 + (len(f) > 6) for f in _FUND)
+
+
 @lru_cache(maxsize=200_000)
 def _type_word(word: str) -> str | None:
     if word in _EXACT:
         return _EXACT[word]
     if len(word) >= 4:
-        best = min(((near(word, alias), full) for alias, full in _ALIASES if len(alias) >= 5), default=(9, ""))
+        best = min(((near(word, alias), _EXACT[alias]) for alias in _LONG_ALIASES(word)), default=(9, ""))
         if best[0] == 1 or (best[0] == 2 and len(word) >= 6 and word[0] == best[1][0]):
             return best[1]
     return None
@@ -118,7 +145,7 @@ def _type_word(word: str) -> str | None:
 
 @lru_cache(maxsize=200_000)
 def _is_filler(word: str) -> bool:
-    return word in FILLERS or (word not in _EXACT and len(word) >= 6 and any(near(word, f) <= 1 + (len(f) >= 15) for f in FILLERS if len(f) >= 7))
+    return word in FILLERS or (word not in _EXACT and len(word) >= 6 and any(near(word, f) <= 1 + (len(f) >= 15) for f in _LONG_FILLERS(word)))
 
 
 @lru_cache(maxsize=200_000)
@@ -143,7 +170,7 @@ def parts_of(name: str) -> Parts:
         phase = PHASES.get(m.group(1), m.group(1))
         text = text[: m.start()] + " " + text[m.end() :]
     tokens = re.findall(r"[a-z0-9]+(?:'[a-z]+)?", text)
-    fund = [t for t in tokens if any(near(t, f) <= 1 + (len(f) > 6) for f in _FUND)]
+    fund = [t for t in tokens if _is_fund(t)]
     if "sbif" in tokens or len(fund) >= 3:
         kinds.add("sbif")
         tokens = [t for t in tokens if t != "sbif" and t not in fund]
@@ -175,6 +202,7 @@ def parts_of(name: str) -> Parts:
 
 
 GIVEN = {x for xs in NICKNAMES.values() for x in xs} | set(NICKNAMES)
+_LONG_GIVEN = Near([g for g in GIVEN if len(g) >= 6])
 
 
 @lru_cache(maxsize=200_000)
@@ -183,7 +211,7 @@ def rewritings(word: str) -> tuple[str, ...]:
     if word in NICKNAMES:
         return NICKNAMES[word]
     if len(word) >= 4 and word not in GIVEN:
-        near_ones = {full for nick, fulls in NICKNAMES.items() if len(nick) >= 5 and near(word, nick) == 1 for full in fulls}
+        near_ones = {full for nick in _LONG_NICKNAMES(word) if near(word, nick) == 1 for full in NICKNAMES[nick]}
         if near_ones:
             return (word, *sorted(near_ones))
     return (word,)
@@ -191,7 +219,7 @@ def rewritings(word: str) -> tuple[str, ...]:
 
 @lru_cache(maxsize=200_000)
 def is_given(word: str) -> bool:
-    return any(r in GIVEN or any(near(r, g) == 1 for g in GIVEN if len(g) >= 6) for r in rewritings(word))
+    return any(r in GIVEN or any(near(r, g) == 1 for g in _LONG_GIVEN(r)) for r in rewritings(word))
 
 
 def _like(a: str, b: str, most: int) -> int:
@@ -242,14 +270,36 @@ def dropped(left: list[str], right: list[str]) -> bool:
     return not is_given(rest[0]) and not any(is_given(w) for w in short)
 
 
-def forms_of(words: list[str], numbered: bool = False) -> list[str]:
-    """Forms under which a name can be met: each word, nicknames resolved, with at most one letter left out, and the words run together.
+#: Words of a name from which on its single words are rewritings too.
+LONG = 8
+
 
-    Two words at most one typo apart share a form. A name with a house number is also met by that alone.
+def forms_of(words: list[str], initials: list[str], numbered: bool = False) -> list[str]:
+    """Canonical rewritings of a whole name under which it can be met; its legal forms are dropped already.
+
+    Rules, over every choice of the given names that its nicknames stand for: words in one order; one word as its initial; one letter
+    left out of one word; one word left out, and then one letter of another; the words run together. Names at most one typo apart in one word, or with
+    one word that only one of them has, share a rewriting. A name with a house number is also met by that alone. Names of more than
+    ``LONG`` words are met by each of their words instead, as their rewritings would grow with the square of their length.
     """
-    out = {w for word in words for r in rewritings(word) for w in (r, *(r[:i] + r[i + 1 :] for i in range(len(r)) if len(r) >= 4))}
-    return sorted(out | (_joined(list(words)) if words else set()) | ({""} if numbered or not words else set()))
+    out = {"#"} if numbered or not words else set()
+    if len(words) >= LONG:
+        out |= {f"{x}~" for word in words for r in rewritings(word) for x in (r, *_without_letter(r))}
+    for chosen in () if len(words) > LONG else product(*[rewritings(w) for w in words]):
+        whole = sorted((*chosen, *initials))
+        out |= {" ".join(whole), *_joined(list(chosen))}
+        for i, word in enumerate(chosen):
+            rest = [*chosen[:i], *chosen[i + 1 :], *initials]
+            out.add(" ".join(sorted((*rest, word[0]))))
+            out |= {" ".join(sorted((*rest, x))) for x in _without_letter(word)}
+            if rest:
+                out |= {" ".join(sorted(x)) for x in (rest, *[(*rest[:j], y, *rest[j + 1 :]) for j, w in enumerate(rest) for y in _without_letter(w)])}
+    return sorted(out)
+
+
+def _without_letter(word: str) -> list[str]:
+    return [word[:i] + word[i + 1 :] for i in range(len(word))] if len(word) >= 4 else []
 
 
 def _joined(words: list[str]) -> set[str]:
-    return {"".join(words), "".join(reversed(words))}
+    return {"".join(words), "".join(reversed(words))} if words else set()

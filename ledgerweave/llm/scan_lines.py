@@ -182,6 +182,11 @@ def _joined(m: re.Match, x: str) -> str:
     return _RUN if m.group(1) == "-" else _HELD
 
 
+def whole_words(body: str) -> str:
+    """The text of a scanner's tokens, parts of split words run together."""
+    return re.sub(f"[{_RUN}{_HELD}]", "", re.sub(f"{_RUN}(?=[A-Z])", "-", body))
+
+
 def scanned(rows: DataFrame, anchors: Sequence[Anchor]) -> DataFrame:
     """``(tbl, row_id, header, page, body)`` of rows ``(tbl, row_id, text)``.
 
