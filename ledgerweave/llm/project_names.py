@@ -277,8 +277,8 @@ LONG = 8
 def forms_of(words: list[str], initials: list[str], numbered: bool = False) -> list[str]:
     """Canonical rewritings of a whole name under which it can be met; its legal forms are dropped already.
 
-    Rules, over every choice of the given names that its nicknames stand for: words in one order; one word as its initial; one letter
-    left out of one word; one word left out, and then one letter of another; the words run together. Names at most one typo apart in one word, or with
+    Rules, over every choice of the given names that its nicknames stand for: words in one order; one word as its initial; one word
+    left out, and then one letter of another; one letter of an only word; the words run together. Names at most one typo apart in one word, or with
     one word that only one of them has, share a rewriting. A name with a house number is also met by that alone. Names of more than
     ``LONG`` words are met by each of their words instead, as their rewritings would grow with the square of their length.
     """
@@ -291,8 +291,9 @@ def forms_of(words: list[str], initials: list[str], numbered: bool = False) -> l
         for i, word in enumerate(chosen):
             rest = [*chosen[:i], *chosen[i + 1 :], *initials]
             out.add(" ".join(sorted((*rest, word[0]))))
-            out |= {" ".join(sorted((*rest, x))) for x in _without_letter(word)}
-            if rest:
+            if not rest:
+                out |= set(_without_letter(word))
+            else:
                 out |= {" ".join(sorted(x)) for x in (rest, *[(*rest[:j], y, *rest[j + 1 :]) for j, w in enumerate(rest) for y in _without_letter(w)])}
     return sorted(out)
 

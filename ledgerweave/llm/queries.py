@@ -83,5 +83,49 @@ def p8_forms(spark: SparkSession, folder: str) -> DataFrame:
     return unicode_form.normalised(table(spark, folder, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (p1_found, p1_projects, p2_found, p2_text, p3_found, p3_confidence, p4_found, p4_mapped, p6_ids, p6_roundtrip, p7_mix, p7_shares, p8_found, p8_forms)}
-SQL: dict[str, str] = {}
+# --- what must hold of the results, so that SQL can say it ------------------------------------------------------------
+
+
+def p2_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every scanned row comes out once, and is null where it was."""
+    return p2_text(spark, folder).select("tbl", "row_id", F.col("text").isNull().alias("is_null"))
+
+
+def p4_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Names that stand on the list are mapped to themselves."""
+    return p4_mapped(spark, folder).filter("district_match_status = 'exact'").select("district_candidate_id", "matched_canonical_tif_district")
+
+
+def p6_same(spark: SparkSession, folder: str) -> DataFrame:
+    """The ids of every text lead back to its bytes."""
+    return p6_roundtrip(spark, folder).select("doc_id", "n_bytes", "same")
+
+
+def p7_bounds(spark: SparkSession, folder: str) -> DataFrame:
+    """No source exceeds its budget or its repeats, and the shares reached add up."""
+    report = p7_shares(spark, folder).join(table(spark, folder, "mix_targets").select("source", "max_repeats"), "source")
+    return report.select("source", "target_share", (F.col("tokens") <= F.col("budget_tokens")).alias("within"), (F.col("most_repeats") <= F.col("max_repeats")).alias("repeats"), (F.col("short_by") == F.col("budget_tokens") - F.col("tokens")).alias("adds_up"))
+
+
+def p8_stable(spark: SparkSession, folder: str) -> DataFrame:
+    """A form is its own form, and a text of plain ASCII is its own but for its line ends."""
+    rows = table(spark, folder, "documents").select("doc_id", "text").withColumn("form", unicode_form.one_form(F.col("text")))
+    again = rows.withColumn("twice", unicode_form.one_form(F.col("form")))
+    return again.select("doc_id", F.col("twice").eqNullSafe(F.col("form")).alias("stable"), F.when(F.col("text").rlike(r"\A[\x20-\x7e\n\t]*\z"), F.col("form") == F.col("text")).otherwise(True).alias("plain"))
+
+
+QUERIES = {
+    q.__name__: q
+    for q in (
+        p1_found, p1_projects, p2_found, p2_text, p2_rows, p3_found, p3_confidence, p4_found, p4_mapped, p4_exact, p6_ids, p6_roundtrip, p6_same, p7_mix, p7_shares, p7_bounds, p8_found, p8_forms, p8_stable,
+    )
+}
+SQL: dict[str, str] = {
+    "p2_rows": """SELECT 'tif_legacy_annual_report_projects_2010_2016' AS tbl, legacy_row_id AS row_id, project_name IS NULL AS is_null FROM tif_legacy_annual_report_projects_2010_2016
+UNION ALL SELECT 'tif_legacy_pdf_project_audit_sample', audit_row_id, source_line IS NULL FROM tif_legacy_pdf_project_audit_sample
+UNION ALL SELECT 'tif_pdf_projected_realized_mentions', mention_id, snippet IS NULL FROM tif_pdf_projected_realized_mentions""",
+    "p4_exact": "SELECT district_candidate_id, district_name_raw AS matched_canonical_tif_district FROM tif_district_legislation_candidates WHERE district_name_raw IN (SELECT canonical_tif_district FROM tif_district_universe)",
+    "p6_same": "SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes, TRUE AS same FROM documents",
+    "p7_bounds": "SELECT source, target_share, TRUE AS within, TRUE AS repeats, TRUE AS adds_up FROM mix_targets",
+    "p8_stable": "SELECT doc_id, TRUE AS stable, TRUE AS plain FROM documents",
+}
