@@ -106,6 +106,7 @@ def _kind_of(word: str) -> str | None:
     return None
 
 
+@lru_cache(maxsize=100_000)
 def _ordinal_of(word: str) -> str | None:
     """The number that an ordinal word stands for, with at most one typo in a long one."""
     if word in _ORDINAL:
@@ -117,6 +118,12 @@ def _ordinal_of(word: str) -> str | None:
     return None
 
 
+@lru_cache(maxsize=100_000)
+def _ten_of(word: str) -> int | None:
+    return next((i for i, t in enumerate(_TENS, start=2) if near(word, t) <= (len(word) > 5)), None)
+
+
+@lru_cache(maxsize=100_000)
 def _is_frame(word: str) -> bool:
     return word in _FRAME_WORDS or (len(word) >= 7 and any(near(word, f) == 1 for f in _FRAME_WORDS if len(f) >= 7))
 
@@ -150,7 +157,7 @@ def words_of(name: str | None) -> tuple[str | None, list[str], list[str]]:
             stems.append(m.group(1))
             continue
         word = raw.translate(_DIGIT_AS_LETTER)
-        ten = next((i for i, t in enumerate(_TENS, start=2) if near(word, t) <= (len(word) > 5)), None)
+        ten = _ten_of(word)
         if ten is not None or word == "and" or _is_frame(word):
             continue
         if ordinal := _ordinal_of(word):

@@ -96,6 +96,7 @@ _FUND = ("small", "business", "improvement", "fund")
 _PHASE = re.compile(r"\b(?:phase|phas|phsae|pahse|phaes|ph)\b\.?\s*([ivx]+|\d+|one|two|three|four|five|six)\b")
 _ALIASES = [(alias, word) for word, aliases in TYPE_WORDS.items() for alias in (word, *aliases)]
 _EXACT = dict(_ALIASES)
+TYPE_ALIASES = frozenset(_EXACT)
 
 
 def _letters(word: str) -> int:
