@@ -55,16 +55,21 @@ def parse_wkt(wkt: str | None) -> list[list[list[Point]]] | None:
 
 
 def ring_moments(ring: list[Point]) -> tuple[float, float, float] | None:
-    """Signed area and centroid; null where the ring has no area."""
+    """Signed area and centroid; null where the ring has no area.
+
+    Coordinates are taken from the first point, as small rings far from the origin would else lose their digits.
+    """
     area = x = y = 0.0
-    for (x0, y0), (x1, y1) in zip(ring, ring[1:], strict=False):
+    left, low = ring[0]
+    near = [(px - left, py - low) for px, py in ring]
+    for (x0, y0), (x1, y1) in zip(near, near[1:], strict=False):
         cross = x0 * y1 - x1 * y0
         area += cross
         x += (x0 + x1) * cross
         y += (y0 + y1) * cross
     if abs(area / 2) < NO_AREA:
         return None
-    return area / 2, x / (3 * area), y / (3 * area)
+    return area / 2, left + x / (3 * area), low + y / (3 * area)
 
 
 def centroid(polygons: list[list[list[Point]]] | None) -> tuple[float | None, float | None, float]:

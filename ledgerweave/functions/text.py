@@ -79,10 +79,21 @@ def first_filled(*cs: Column) -> Column:
     return F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in cs])
 
 
-def informative(c: Column, generic: Sequence[str], least: int = 6) -> Column:
-    """Whether a term can be searched for: not all digits, not a lone generic word, long enough without spaces."""
+def informative(c: Column, generic: Sequence[str], least: int = 6, simple: Column | None = None, simple_least: int = 5) -> Column:
+    """Whether a term can be searched for: it has a word with letters, is not one generic word (numbers aside), and is long enough
+    without spaces, as it stands or in its simplified form."""
+    size = lambda x: F.length(F.replace(x, F.lit(" "), F.lit("")))
     n = norm_text(c)
-    return (~n.rlike(r"^[\d ]*$")) & (~n.isin(*generic)) & (F.length(F.replace(n, F.lit(" "), F.lit(""))) >= least)
+    words = F.filter(F.split(n, " "), lambda w: w.rlike("[a-z]"))
+    lone = (F.size(words) == 1) & F.coalesce(F.get(words, F.lit(0)).isin(*generic), F.lit(False))
+    long_enough = size(n) >= least
+    return (F.size(words) > 0) & ~lone & (long_enough if simple is None else long_enough | (size(simple) >= simple_least))
+
+
+def ints_of(c: Column, default: Sequence[int]) -> Column:
+    """All whole numbers of a text in order; the default where there is none."""
+    found = F.transform(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r"\d+"), F.lit(0)), lambda x: x.try_cast("int"))
+    return F.when(F.size(found) > 0, found).otherwise(F.array(*[F.lit(x) for x in default]))
 
 
 def unique_join(items: Column, sep: str = "; ", most: int | None = None) -> Column:

@@ -49,20 +49,26 @@ def project_rows(reports: DataFrame, keys: Sequence[str], text: str) -> DataFram
     that says ongoing anywhere is active, another unknown. A report without passages that does not say that there are no projects is read
     line by line: lines with a status are projects, numbered in order. Rows of one number and name count once.
     """
-    whole = reports.select(*keys, from_anchor(repaired(F.col(text)), r"(?i)Project\s+\d{1,3}\s*:", STOPS).alias("_t"))
-    mark = r"(?i)\bproject\s+(\d{1,3})\s*:"
+    # exploding an array of one keeps the clean-up from being copied into every condition after it
+    whole = reports.select(*keys, F.explode(F.array(repaired(F.col(text)))).alias("_r"))
+    whole = whole.select(*keys, F.explode(F.array(from_anchor(F.col("_r"), r"(?i)Project\s+\d{1,3}\s*:", STOPS))).alias("_t"))
+    mark, said = r"(?i)\bproject\s+(\d{1,3})\s*:", f"{ONGOING}|{COMPLETE[4:]}"
     numbers = F.regexp_extract_all("_t", F.lit(mark), F.lit(1))
     pieces = F.slice(F.split("_t", r"(?i)\bproject\s+\d{1,3}\s*:", -1), F.lit(2), F.size(numbers))
-    passages = whole.select(*keys, F.posexplode(F.arrays_zip(numbers.alias("n"), pieces.alias("b"))).alias("_o", "_x")).select(*keys, "_o", F.col("_x.n").cast("int").alias("project_number"), F.col("_x.b").alias("_b"))
-    body = F.element_at(F.split("_b", SENTINEL, 2), 1)
-    before = F.element_at(F.split(body, f"{ONGOING}|{COMPLETE[4:]}", 2), 1)
-    status = F.when(body.rlike(ONGOING), "Active Project").when(body.rlike(COMPLETE), "Completed Project").when(F.col("_b").rlike("(?i)ongoing"), "Active Project").otherwise("Unknown")
-    named = passages.select(*keys, "_o", "project_number", clean_name(before, " -:;").alias("project_name"), status.alias("status"))
-    named = named.filter((F.col("project_name") != "") & (F.lower("project_name") != "see instructions"))
+
+    def passage(number: Column, piece: Column) -> Column:
+        body = F.element_at(F.split(piece, SENTINEL, 2), 1)
+        status = F.when(body.rlike(ONGOING), "Active Project").when(body.rlike(COMPLETE), "Completed Project").when(piece.rlike("(?i)ongoing"), "Active Project").otherwise("Unknown")
+        return F.struct(number.cast("int").alias("project_number"), clean_name(F.element_at(F.split(body, said, 2), 1), " -:;").alias("project_name"), status.alias("status"))
+
+    def line(x: Column) -> Column:
+        return F.struct(clean_name(F.element_at(F.split(x, said, 2), 1)).alias("project_name"), F.when(x.rlike("(?i)ongoing"), "Active Project").otherwise("Completed Project").alias("status"))
+
+    # texts are read inside the arrays, so that what follows works on plain columns
+    named = whole.select(*keys, F.posexplode(F.zip_with(numbers, pieces, passage)).alias("_o", "_x")).select(*keys, "_o", "_x.*").filter((F.col("project_name") != "") & (F.lower("project_name") != "see instructions"))
     # reports without passages
     bare = whole.filter(~F.col("_t").rlike(mark) & ~F.col("_t").rlike(NONE_SAID))
-    lines = bare.select(*keys, F.posexplode(F.split("_t", "\n")).alias("_o", "_b")).filter(F.col("_b").rlike(f"{ONGOING}|{COMPLETE[4:]}"))
-    read = lines.select(*keys, "_o", clean_name(F.element_at(F.split("_b", f"{ONGOING}|{COMPLETE[4:]}", 2), 1)).alias("project_name"), F.when(F.col("_b").rlike("(?i)ongoing"), "Active Project").otherwise("Completed Project").alias("status")).filter("project_name <> ''")
+    read = bare.select(*keys, F.posexplode(F.transform(F.filter(F.split("_t", "\n"), lambda x: x.rlike(said)), line)).alias("_o", "_x")).select(*keys, "_o", "_x.*").filter("project_name <> ''")
     read = renumbered(read, keys, ["_o"], "project_number")
     both = named.unionByName(read).withColumn("_form", norm_text(F.col("project_name")))
     return first_per_key(both, [*keys, "project_number", "_form"], [F.asc("_o")]).select(*keys, "project_number", "project_name", "status")

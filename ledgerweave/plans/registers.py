@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerweave.functions import coerce, ids, text
 from ledgerweave.operators import aggregate, joins, journal, match, rank, reports, textmine, universe
 from ledgerweave.plans.queries import (
-    ANNUAL, AUDIT, BOUNDARIES, CANDIDATES, LEGACY, MATTERS, MENTIONS, OVERRIDES, UNIVERSE, Read, _as_of, _as_of_rows, _district_phrases, _HITS, _int, _norm, _tif, _year, containment_hits, district_year_sums, lead_argmax, query, tenure_resolve,
+    ANNUAL, AUDIT, BOUNDARIES, CANDIDATES, LEGACY, MATTERS, MENTIONS, OVERRIDES, SQL, UNIVERSE, Read, _as_of, _as_of_rows, _district_phrases, _HITS, _int, _norm, _tif, _year, containment_hits, district_year_sums, lead_argmax, query, tenure_resolve,
 )
 from ledgerweave.sources.files import manifest
 from ledgerweave.sources.remote import existing_union, followed
@@ -177,6 +177,30 @@ def known_missing(read: Read):
     return rows.select("legacy_row_id", F.when(F.col("gone") == 1, "known_missing").otherwise(F.col("last_status")).alias("download_status"))
 
 
+@query(
+    """SELECT legacy_row_id, report_year, coalesce(annual_report_name, project_name, '') AS name, coalesce(status, '') AS status, '' AS new_deals, CAST(NULL AS DOUBLE) AS paid, coalesce(source, 'annual_report_pdf') AS source,
+  array_to_string(CASE WHEN len(regexp_extract_all(coalesce(section_pages, ''), '\\d+')) > 0 THEN list_transform(regexp_extract_all(section_pages, '\\d+'), lambda x: CAST(CAST(x AS INTEGER) AS VARCHAR)) ELSE ['15'] END, ',') AS pages FROM tif_legacy_annual_report_projects_2010_2016"""
+)
+def legacy_common(read: Read):
+    """The legacy table in the schema of the annual one: constants for what it lacks, fall-backs for what may be missing."""
+    or_blank = lambda *cs: F.coalesce(*cs, F.lit(""))
+    return read(LEGACY).select(
+        "legacy_row_id", "report_year", or_blank("annual_report_name", "project_name").alias("name"), or_blank("status").alias("status"), F.lit("").alias("new_deals"), F.lit(None).cast("double").alias("paid"), F.coalesce("source", F.lit("annual_report_pdf")).alias("source"),
+        F.array_join(F.transform(text.ints_of(F.col("section_pages"), (15,)), lambda x: x.cast("string")), ",").alias("pages"),
+    )
+
+
+@query(
+    f"""WITH r AS (SELECT annual_report_pdf, max(legacy_expected_project_total) AS expected, count(*) AS extracted FROM tif_legacy_annual_report_projects_2010_2016 WHERE annual_report_pdf IS NOT NULL GROUP BY 1)
+SELECT unnest(['reports', 'expected', 'extracted', 'short', 'agreeing']) AS metric, unnest([CAST(count(*) AS DOUBLE), sum(coalesce(expected, 0)), sum(extracted), count(*) FILTER (WHERE extracted < expected), count(*) FILTER (WHERE extracted = expected)]) AS value FROM r"""
+)
+def validation_metrics(read: Read):
+    """What reports state against what was extracted."""
+    by_report = read(LEGACY).filter("annual_report_pdf is not null").groupBy("annual_report_pdf").agg(F.max("legacy_expected_project_total").alias("e"), F.count(F.lit(1)).alias("x"))
+    n = lambda c: F.count(F.when(c, 1))
+    return aggregate.metric_table(by_report, {"reports": F.count(F.lit(1)), "expected": F.sum(F.coalesce("e", F.lit(0))), "extracted": F.sum("x"), "short": n(F.col("x") < F.col("e")), "agreeing": n(F.col("x") == F.col("e"))})
+
+
 # --- registers and summaries -------------------------------------------------------------------------------------
 
 
@@ -612,7 +636,7 @@ _GENERIC = ("iga", "school", "park", "project")
 
 def _informative_sql(c: str) -> str:
     n = _norm(c)
-    return f"(NOT regexp_matches({n}, '^[\\d ]*$') AND {n} NOT IN ('iga', 'school', 'park', 'project') AND length(replace({n}, ' ', '')) >= 6)"
+    return f"(regexp_matches({n}, '[a-z]') AND trim(regexp_replace(' ' || {n} || ' ', '( \\d+)+ ', ' ', 'g')) NOT IN ('iga', 'school', 'park', 'project') AND length(replace({n}, ' ', '')) >= 6)"
 
 
 @query(
@@ -702,3 +726,8 @@ def district_match(read: Read):
     listed = _district_phrases(read).select(F.col("tif_number").alias("entry"), F.col("n").alias("listed")).unionByName(read(UNIVERSE).select(F.col("tif_number").alias("entry"), F.col("canonical_tif_district").alias("listed"))).distinct()
     canonical = read(UNIVERSE).select(F.col("tif_number").alias("entry"), F.col("canonical_tif_district").alias("listed")).withColumn("canonical", F.lit(1))
     return match.full_ladder(names, listed.join(canonical, ["entry", "listed"], "left").na.fill(0, ["canonical"]), _DROP, (*_DROP, "street", "st", "avenue", "ave"))
+
+
+SQL["funding_near"] = f"""WITH x AS (SELECT matter_row_id, matter_title AS t, unnest({_places("matter_title", "\\$[0-9][0-9,]*(?:\\.[0-9]+)?")}, recursive := false) AS m FROM tif_elms_matters WHERE matter_title IS NOT NULL),
+n AS (SELECT matter_row_id, try_cast(replace(replace(m.hit, '$', ''), ',', '') AS DOUBLE) AS v FROM x WHERE regexp_matches(substr(t, CAST(greatest(m.at - 59, 1) AS BIGINT), length(m.hit) + 120), '(?i)exceed|assistance|notes|grant'))
+SELECT m.matter_row_id, max(n.v) AS funding FROM tif_elms_matters m LEFT JOIN n ON m.matter_row_id = n.matter_row_id GROUP BY 1"""
