@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from difflib import SequenceMatcher
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerweave.functions.similarity import may_reach, ratio
+from ledgerweave.functions.similarity import ratio
 from ledgerweave.functions.text import canonical_id, without_words
 from ledgerweave.operators.joins import salted_join
 from ledgerweave.operators.rank import first_per_key
@@ -38,36 +40,134 @@ def tiered_match(left: DataFrame, tiers: Sequence[tuple[str, DataFrame, Sequence
     return out.withColumn(value, F.coalesce(*[F.col(f"_{n}") for n in names])).withColumn(status, hit).drop(*[f"_{n}" for n in names])
 
 
-def letters(c: Column) -> Column:
-    """The letters of a text as a set, the second of a kind being another element than the first."""
-    chars = F.array_sort(F.split(c, ""))
-    return F.transform(chars, lambda x, i: F.concat(x, (i - F.array_position(chars, x)).cast("string")))
+#: Left rows of a block that one task holds against the block, and pairs that it bounds at once.
+PART, AT_ONCE = 2000, 4_000_000
+#: What is rounded to the best score, or to the least one accepted, can be so much less.
+ROUNDED = 0.00011
 
 
-def letters_reach(a: Column, b: Column, la: Column, lb: Column, least: float) -> Column:
-    """Whether two texts have so many letters in common, in any order, that their likeness may reach ``least``."""
-    return 2 * F.size(F.array_intersect(a, b)) >= least * (F.length(la) + F.length(lb)) - 1e-9
+class Texts:
+    """Texts with the counts of their letters and the codes of these one after the other, for upper bounds of likeness.
+
+    ``common`` counts letters in any order as the product of two matrices: a column is the n-th letter of a kind, for the most frequent kinds; what is
+    beyond these columns is counted by number only. ``in_order`` is the longest common subsequence by a bit-parallel scan, a text of more than 64 letters in parts.
+    """
+
+    KINDS, OF_A_KIND = 64, 8
+
+    def __init__(self, texts: Sequence[str], kinds: dict[str, int]) -> None:
+        self.lengths = np.array([len(t) for t in texts], dtype=np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.codes = np.array([kinds.get(c, len(kinds)) for t in texts for c in t], dtype=np.int64)  # the last code is of letters that the other side lacks
+        used = min(len(kinds), self.KINDS)
+        owner, known = np.repeat(np.arange(len(texts)), self.lengths), self.codes < used
+        counts = np.bincount(owner[known] * used + self.codes[known], minlength=len(texts) * used).reshape(len(texts), used) if used else np.zeros((len(texts), 0), dtype=np.int64)
+        self.counts = (counts[:, :, None] > np.arange(self.OF_A_KIND)).reshape(len(texts), -1).astype(np.float32)
+        self.beyond = (self.lengths - self.counts.sum(axis=1)).astype(np.float32)
+
+    def common(self, other: Texts, rows: slice) -> np.ndarray:
+        """Letters that each text and each of ``rows`` of the others have in common at most."""
+        out = self.counts @ other.counts[rows].T
+        if self.beyond.any() and other.beyond[rows].any():
+            out += np.minimum.outer(self.beyond, other.beyond[rows])
+        return out
+
+    def in_order(self, other: Texts, i: np.ndarray, j: np.ndarray, kinds: int) -> np.ndarray:
+        """Letters that the texts ``i`` and the others ``j``, pair by pair, have in common in one order at most."""
+        order = np.argsort(-other.lengths[j], kind="stable")
+        i, j = i[order], j[order]
+        own, which = np.unique(i, return_inverse=True)
+        total = np.zeros(len(i), dtype=np.int64)
+        for at in range(0, int(self.lengths[own].max(initial=0)), 64):
+            masks = np.zeros((len(own), kinds + 1), dtype=np.uint64)
+            for row, t in enumerate(own):
+                for bit, c in enumerate(self.codes[self.starts[t] + at : self.starts[t] + min(at + 64, max(self.lengths[t], at))]):
+                    masks[row, c] |= np.uint64(1 << bit)
+            masks[:, kinds] = 0
+            free = np.full(len(i), 2**64 - 1, dtype=np.uint64)
+            start, length = other.starts[j], other.lengths[j]
+            for column in range(int(length.max(initial=0))):
+                n = int(np.searchsorted(-length, -column, side="left"))  # the texts longer than this column
+                v = free[:n]
+                u = v & masks[which[:n], other.codes[start[:n] + column]]
+                free[:n] = (v + u) | (v - u)
+            total += 64 - np.bitwise_count(free).astype(np.int64)
+        out = np.empty(len(i), dtype=np.int64)
+        out[order] = total
+        return out
+
+
+def _best_of_block(a: dict[str, list], b: dict[str, list], pairs: Sequence[tuple[str, str]], accept: float) -> list[tuple[int, int, float]]:
+    """``(left row, right row, score)`` of all pairs whose score can be rounded to the best one of the left row and to ``accept``."""
+    n, m = len(next(iter(a.values()))), len(next(iter(b.values())))
+    low, found = np.full(n, accept), []
+    for x, y in pairs:
+        kinds = {c: i for i, (c, _) in enumerate(Counter(c for t in b[y] for c in t).most_common())}
+        left, right = Texts(a[x], kinds), Texts(b[y], kinds)
+        matchers = lru_cache(maxsize=20_000)(lambda j, y=y: SequenceMatcher(None, "", b[y][j]))
+
+        def score(i: int, j: int, x=x, matchers=matchers) -> float:
+            s = matchers(j)
+            s.set_seq1(a[x][i])
+            r = s.ratio()
+            if r >= low[i] - ROUNDED:
+                found.append((i, j, r))
+                low[i] = max(low[i], r)
+            return r
+
+        step = max(AT_ONCE // n, 1)
+        for at in range(0, m, step):
+            rows = slice(at, min(at + step, m))
+            total = np.add.outer(left.lengths, right.lengths[rows]).astype(np.float32)
+            bound = 2 * left.common(right, rows) / np.maximum(total, 1)
+            bound[(left.lengths == 0), :] = -1  # blanks count for nothing
+            bound[:, right.lengths[rows] == 0] = -1
+            first = bound.argmax(axis=1)
+            tried = np.flatnonzero(bound[np.arange(n), first] >= low - ROUNDED - 1e-5)
+            for i in tried.tolist():
+                score(i, at + int(first[i]))
+            bound[tried, first[tried]] = -1
+            i, j = np.nonzero(bound >= (low - ROUNDED - 1e-5)[:, None])
+            for part in range(0, len(i), AT_ONCE // 8):
+                pi, pj = i[part : part + AT_ONCE // 8], j[part : part + AT_ONCE // 8] + at
+                most = 2.0 * left.in_order(right, pi, pj, len(kinds)) / (left.lengths[pi] + right.lengths[pj])
+                may = most >= low[pi] - ROUNDED
+                pi, pj, most = pi[may], pj[may], most[may]
+                for k in np.argsort(-most, kind="stable").tolist():
+                    if most[k] >= low[pi[k]] - ROUNDED:
+                        score(int(pi[k]), int(pj[k]))
+    return [f for f in found if f[2] >= low[f[0]] - ROUNDED]
 
 
 def best_fuzzy(left: DataFrame, right: DataFrame, block: Sequence[str], key: str, pairs: Sequence[tuple[str, str]], right_key: str, accept: float, suggest: bool = False) -> DataFrame:
     """``(key, right_key, score, accepted)``: of each left row the likeliest right row of its block.
 
-    The score is the greatest likeness of several pairs of columns, blanks counting for nothing; ties go to the smaller key. Pairs of rows come from an
-    equi-join on the block, a hot block in parts. Where only accepted pairs are wanted, those that cannot reach ``accept`` by
-    their lengths and letters are left out before the likeness runs; with ``suggest`` the best pair below it is wanted too, so none is.
+    The score is the greatest likeness of several pairs of columns, blanks counting for nothing; ties go to the smaller key. Where only accepted pairs
+    are wanted, a task holds a part of a block's left rows against all its right rows: pairs that by their letters, and then by
+    their letters in order, cannot reach ``accept`` and the best found so far are left out before the likeness runs. With ``suggest`` the best pair
+    below ``accept`` is wanted too, so all pairs of an equi-join on the block, a hot block in parts, are scored.
     """
     lefts, rights = sorted({a for a, _ in pairs}), sorted({b for _, b in pairs})
-    a = left.select(key, *block, *lefts, *[letters(F.col(c)).alias(f"_{c}") for c in lefts])
-    b = right.select(right_key, *block, *rights, *[letters(F.col(c)).alias(f"_{c}") for c in rights])
-    met = salted_join(a, b, block)
-    may = F.lit(False)
-    for x, y in pairs:
-        may = may | ((F.col(x) != "") & (F.col(y) != "") & may_reach(F.col(x), F.col(y), accept) & letters_reach(F.col(f"_{x}"), F.col(f"_{y}"), F.col(x), F.col(y), accept))
-    if not suggest:
-        met = met.filter(may)
-    met = met.select(key, right_key, *lefts, *rights)
-    each = [F.when((F.col(x) != "") & (F.col(y) != ""), ratio(F.col(x), F.col(y))).otherwise(0.0) for x, y in pairs]
-    scored = met.select(key, right_key, F.round(F.greatest(*each) if len(each) > 1 else each[0], 4).alias("score"))
+    if suggest:
+        met = salted_join(left.select(key, *block, *lefts), right.select(right_key, *block, *rights), block).select(key, right_key, *lefts, *rights)
+        each = [F.when((F.col(x) != "") & (F.col(y) != ""), ratio(F.col(x), F.col(y))).otherwise(0.0) for x, y in pairs]
+        scored = met.select(key, right_key, (F.greatest(*each) if len(each) > 1 else each[0]).alias("score"))
+    else:
+        parts = left.groupBy(*block).agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("_parts"))
+        a = left.select(key, *block, *lefts).join(parts, list(block)).withColumn("_part", F.pmod(F.xxhash64(key), F.col("_parts")).cast("int")).drop("_parts")
+        b = right.select(right_key, *block, *rights).join(parts, list(block)).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+        tasks = 3 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        grouped = [d.repartition(tasks, *block, "_part").groupBy(*block, "_part") for d in (a, b)]
+
+        def best_of(x: pa.Table, y: pa.Table) -> pa.Table:
+            texts = lambda t, names: {c: [v or "" for v in t.column(c).to_pylist()] for c in names}
+            found = _best_of_block(texts(x, lefts), texts(y, rights), pairs, accept) if x.num_rows and y.num_rows else []
+            i, j, scores = ([f[k] for f in found] for k in range(3))
+            return pa.table([x.column(key).take(pa.array(i, pa.int64())), y.column(right_key).take(pa.array(j, pa.int64())), pa.array(scores, pa.float64())], names=[key, right_key, "score"])
+
+        schema = T.StructType([T.StructField(key, left.schema[key].dataType), T.StructField(right_key, right.schema[right_key].dataType), T.StructField("score", T.DoubleType())])
+        scored = grouped[0].cogroup(grouped[1]).applyInArrow(best_of, schema)
+    scored = scored.select(key, right_key, F.round("score", 4).alias("score"))
     best = scored.groupBy(key).agg(F.min(F.struct((-F.col("score")).alias("s"), F.col(right_key).alias("k"))).alias("b"))
     out = best.select(key, F.col("b.k").alias(right_key), (-F.col("b.s")).alias("score"), (-F.col("b.s") >= accept).alias("accepted"))
     return out if suggest else out.filter("accepted")
