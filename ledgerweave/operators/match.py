@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from difflib import SequenceMatcher
 from functools import lru_cache
@@ -14,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerweave.functions.similarity import ratio
+from ledgerweave.functions.similarity import likeness, ratio
 from ledgerweave.functions.text import canonical_id, without_words
 from ledgerweave.operators.joins import salted_join
 from ledgerweave.operators.rank import first_per_key
@@ -40,52 +39,57 @@ def tiered_match(left: DataFrame, tiers: Sequence[tuple[str, DataFrame, Sequence
     return out.withColumn(value, F.coalesce(*[F.col(f"_{n}") for n in names])).withColumn(status, hit).drop(*[f"_{n}" for n in names])
 
 
-#: Left rows of a block that one task holds against the block, and pairs that it bounds at once.
-PART, AT_ONCE = 2000, 4_000_000
+#: Left rows of a block that one task holds against the block, those of them that are bounded at once, right rows at once, and pairs at once.
+PART, LEFTS, RIGHTS, PAIRS = 2000, 500, 4000, 500_000
 #: What is rounded to the best score, or to the least one accepted, can be so much less.
 ROUNDED = 0.00011
 
 
 class Texts:
-    """Texts with the counts of their letters and the codes of these one after the other, for upper bounds of likeness.
+    """Texts in order of length with the codes of their letters one after the other, for upper bounds of likeness.
 
-    ``common`` counts letters in any order as the product of two matrices: a column is the n-th letter of a kind, for the most frequent kinds; what is
-    beyond these columns is counted by number only. ``in_order`` is the longest common subsequence by a bit-parallel scan, a text of more than 64 letters in parts.
+    ``kinds`` are the letters of the right texts by frequency; letters that the right texts lack have the last code.
     """
 
-    KINDS, OF_A_KIND = 64, 8
-
-    def __init__(self, texts: Sequence[str], kinds: dict[str, int]) -> None:
-        self.lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    def __init__(self, texts: Sequence[str], kinds: np.ndarray | None = None) -> None:
+        self.rows = np.array(sorted(range(len(texts)), key=lambda i: len(texts[i])), dtype=np.int64)
+        self.texts = [texts[i] for i in self.rows]
+        self.lengths = np.array([len(t) for t in self.texts], dtype=np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.codes = np.array([kinds.get(c, len(kinds)) for t in texts for c in t], dtype=np.int64)  # the last code is of letters that the other side lacks
-        used = min(len(kinds), self.KINDS)
-        owner, known = np.repeat(np.arange(len(texts)), self.lengths), self.codes < used
-        counts = np.bincount(owner[known] * used + self.codes[known], minlength=len(texts) * used).reshape(len(texts), used) if used else np.zeros((len(texts), 0), dtype=np.int64)
-        self.counts = (counts[:, :, None] > np.arange(self.OF_A_KIND)).reshape(len(texts), -1).astype(np.float32)
-        self.beyond = (self.lengths - self.counts.sum(axis=1)).astype(np.float32)
-
-    def common(self, other: Texts, rows: slice) -> np.ndarray:
-        """Letters that each text and each of ``rows`` of the others have in common at most."""
-        out = self.counts @ other.counts[rows].T
-        if self.beyond.any() and other.beyond[rows].any():
-            out += np.minimum.outer(self.beyond, other.beyond[rows])
-        return out
-
-    def in_order(self, other: Texts, i: np.ndarray, j: np.ndarray, kinds: int) -> np.ndarray:
-        """Letters that the texts ``i`` and the others ``j``, pair by pair, have in common in one order at most."""
+        letters = np.frombuffer("".join(self.texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        if kinds is None:
+            found, counts = np.unique(letters, return_counts=True)
+            kinds = found[np.argsort(-counts, kind="stable")]
+        self.kinds = kinds
+        order = np.argsort(kinds)
+        at = np.minimum(np.searchsorted(kinds[order], letters), max(len(kinds) - 1, 0))
+        self.codes = np.where(kinds[order][at] == letters, order[at], len(kinds)) if len(kinds) else np.zeros(len(letters), dtype=np.int64)
+
+    def counts(self, rows: slice, used: int) -> np.ndarray:
+        """How often each of the first ``used`` kinds stands in the texts ``rows``."""
+        lengths = self.lengths[rows]
+        codes = self.codes[self.starts[rows.start] : self.starts[rows.start] + lengths.sum()] if len(lengths) else self.codes[:0]
+        owner, known = np.repeat(np.arange(len(lengths)), lengths), codes < used
+        return np.bincount(owner[known] * used + codes[known], minlength=len(lengths) * used).reshape(len(lengths), used)
+
+    def in_order(self, other: Texts, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Letters that the texts ``i`` and the others ``j``, pair by pair, have in common in one order at most.
+
+        The longest common subsequence by a bit-parallel scan, a text of more than 64 letters in parts.
+        """
+        kinds = len(self.kinds)
         order = np.argsort(-other.lengths[j], kind="stable")
         i, j = i[order], j[order]
         own, which = np.unique(i, return_inverse=True)
         total = np.zeros(len(i), dtype=np.int64)
+        start, length = other.starts[j], other.lengths[j]
         for at in range(0, int(self.lengths[own].max(initial=0)), 64):
+            n = np.clip(self.lengths[own] - at, 0, 64)
+            bit = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             masks = np.zeros((len(own), kinds + 1), dtype=np.uint64)
-            for row, t in enumerate(own):
-                for bit, c in enumerate(self.codes[self.starts[t] + at : self.starts[t] + min(at + 64, max(self.lengths[t], at))]):
-                    masks[row, c] |= np.uint64(1 << bit)
+            np.bitwise_or.at(masks, (np.repeat(np.arange(len(own)), n), self.codes[np.repeat(self.starts[own] + at, n) + bit]), np.uint64(1) << bit.astype(np.uint64))
             masks[:, kinds] = 0
             free = np.full(len(i), 2**64 - 1, dtype=np.uint64)
-            start, length = other.starts[j], other.lengths[j]
             for column in range(int(length.max(initial=0))):
                 n = int(np.searchsorted(-length, -column, side="left"))  # the texts longer than this column
                 v = free[:n]
@@ -97,45 +101,70 @@ class Texts:
         return out
 
 
+class Letters:
+    """For pairs that can have enough letters in common, in any order, by the product of two matrices.
+
+    A column is the n-th letter of a kind, for the most frequent kinds; what a left text has beyond these columns counts as in common. One
+    more column has the lengths, so that the product is compared with one number of each left text.
+    """
+
+    KINDS, OF_A_KIND = 64, 8
+
+    def __init__(self, left: Texts, right: Texts) -> None:
+        self.left, self.right, self.used = left, right, min(len(right.kinds), self.KINDS)
+        self.of_left = left.counts(slice(0, len(left.texts)), self.used)
+        highest = np.zeros(self.used, dtype=np.int64)
+        for at in range(0, len(right.texts), RIGHTS):
+            highest = np.maximum(highest, right.counts(slice(at, at + RIGHTS), self.used).max(axis=0, initial=0))
+        most = np.minimum(np.minimum(self.of_left.max(axis=0, initial=0), highest), self.OF_A_KIND)
+        self.kind = np.repeat(np.arange(self.used), most)
+        self.nth = np.arange(len(self.kind)) - np.repeat(np.cumsum(most) - most, most)
+        others = (left.codes >= self.used) & (left.codes < len(right.kinds))
+        beyond = np.bincount(np.repeat(np.arange(len(left.texts)), left.lengths)[others], minlength=len(left.texts))
+        self.beyond = beyond + np.where(highest > self.OF_A_KIND, np.maximum(self.of_left - self.OF_A_KIND, 0), 0).sum(axis=1)
+
+    def pairs(self, rows: slice, low: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of the left texts ``rows`` and right ones that can reach ``low``, one number of each of the ``rows``."""
+        lengths, least = self.left.lengths[rows], max(float(low.min()), 1e-6)
+        begin, end = np.searchsorted(self.right.lengths, [lengths[0] * least / (2 - least) - 1e-3, lengths[-1] * (2 - least) / least + 1e-3]) if least < 2 else (0, 0)
+        a = np.concatenate([self.of_left[rows][:, self.kind] > self.nth, -low[:, None] / 2], axis=1, dtype=np.float32)
+        enough = (low * lengths / 2 - self.beyond[rows] - 1e-3).astype(np.float32)
+        for at in range(int(begin), int(end), RIGHTS):
+            some = slice(at, min(at + RIGHTS, int(end)))
+            b = self.columns(some)
+            i, j = np.divmod(np.flatnonzero(a @ b.T >= enough[:, None]), len(b))
+            for part in range(0, len(i), PAIRS):
+                yield i[part : part + PAIRS] + rows.start, j[part : part + PAIRS] + at
+
+    def columns(self, rows: slice) -> np.ndarray:
+        return np.concatenate([self.right.counts(rows, self.used)[:, self.kind] > self.nth, self.right.lengths[rows, None]], axis=1, dtype=np.float32)
+
+
 def _best_of_block(a: dict[str, list], b: dict[str, list], pairs: Sequence[tuple[str, str]], accept: float) -> list[tuple[int, int, float]]:
     """``(left row, right row, score)`` of all pairs whose score can be rounded to the best one of the left row and to ``accept``."""
-    n, m = len(next(iter(a.values()))), len(next(iter(b.values())))
-    low, found = np.full(n, accept), []
+    low, found = np.full(len(next(iter(a.values()))), accept), []
     for x, y in pairs:
-        kinds = {c: i for i, (c, _) in enumerate(Counter(c for t in b[y] for c in t).most_common())}
-        left, right = Texts(a[x], kinds), Texts(b[y], kinds)
-        matchers = lru_cache(maxsize=20_000)(lambda j, y=y: SequenceMatcher(None, "", b[y][j]))
-
-        def score(i: int, j: int, x=x, matchers=matchers) -> float:
-            s = matchers(j)
-            s.set_seq1(a[x][i])
-            r = s.ratio()
-            if r >= low[i] - ROUNDED:
-                found.append((i, j, r))
-                low[i] = max(low[i], r)
-            return r
-
-        step = max(AT_ONCE // n, 1)
-        for at in range(0, m, step):
-            rows = slice(at, min(at + step, m))
-            total = np.add.outer(left.lengths, right.lengths[rows]).astype(np.float32)
-            bound = 2 * left.common(right, rows) / np.maximum(total, 1)
-            bound[(left.lengths == 0), :] = -1  # blanks count for nothing
-            bound[:, right.lengths[rows] == 0] = -1
-            first = bound.argmax(axis=1)
-            tried = np.flatnonzero(bound[np.arange(n), first] >= low - ROUNDED - 1e-5)
-            for i in tried.tolist():
-                score(i, at + int(first[i]))
-            bound[tried, first[tried]] = -1
-            i, j = np.nonzero(bound >= (low - ROUNDED - 1e-5)[:, None])
-            for part in range(0, len(i), AT_ONCE // 8):
-                pi, pj = i[part : part + AT_ONCE // 8], j[part : part + AT_ONCE // 8] + at
-                most = 2.0 * left.in_order(right, pi, pj, len(kinds)) / (left.lengths[pi] + right.lengths[pj])
-                may = most >= low[pi] - ROUNDED
-                pi, pj, most = pi[may], pj[may], most[may]
-                for k in np.argsort(-most, kind="stable").tolist():
-                    if most[k] >= low[pi[k]] - ROUNDED:
-                        score(int(pi[k]), int(pj[k]))
+        of: dict[str, list[int]] = {}  # blanks count for nothing
+        for row, t in enumerate(b[y]):
+            if t:
+                of.setdefault(t, []).append(row)
+        filled = [row for row, t in enumerate(a[x]) if t]
+        right = Texts(list(of))
+        left = Texts([a[x][row] for row in filled], right.kinds)
+        mine = np.array(filled, dtype=np.int64)[left.rows]
+        letters = Letters(left, right)
+        for begin in range(0, len(filled), LEFTS):
+            rows = slice(begin, min(begin + LEFTS, len(filled)))
+            for i, j in letters.pairs(rows, low[mine[rows]] - ROUNDED):
+                most = 2.0 * left.in_order(right, i, j) / (left.lengths[i] + right.lengths[j])
+                may = np.flatnonzero(most >= low[mine[i]] - ROUNDED)
+                for k in may[np.argsort(-most[may], kind="stable")].tolist():
+                    row, s = int(mine[i[k]]), right.texts[j[k]]
+                    if most[k] >= low[row] - ROUNDED:
+                        r = likeness(left.texts[i[k]], s)
+                        if r >= low[row] - ROUNDED:
+                            found += [(row, other, r) for other in of[s]]
+                            low[row] = max(low[row], r)
     return [f for f in found if f[2] >= low[f[0]] - ROUNDED]
 
 
